@@ -43,11 +43,13 @@ def with_root_id(df: DataFrame, own: str = "id", original: str = "original_id",
 
 
 def exclude(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(other.select(*keys), list(keys), "left_anti")
+    """Keys are made distinct first: a key with very many rows then ships one per map task,
+    and the join re-uses that shuffle."""
+    return df.join(other.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def keep_in(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(other.select(*keys), list(keys), "left_semi")
+    return df.join(other.select(*keys).distinct(), list(keys), "left_semi")
 
 
 def exclude_later(df: DataFrame, other: DataFrame, key: str, base_date: Column,
