@@ -187,7 +187,7 @@ def _texts(d: Dialect) -> dict[str, tuple[str, str]]:
       CASE WHEN l_linestatus = 'F' AND l_returnflag = 'N' THEN 'R' END AS payment_status,
       CASE WHEN l_quantity < 3 THEN 1 ELSE 0 END AS is_collection
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE substr(o_orderpriority, 1, 1) = '5'""")
-    page = ("CASE WHEN event_type = 'error' AND value >= 100 THEN 'reject' "
+    page = ("CASE WHEN event_type = 'error' AND value >= 150 THEN 'reject' "
             "WHEN event_type = 'purchase' AND value >= 40 THEN 'payment_schedule_submit' "
             "WHEN event_type = 'purchase' THEN 'account_terms_submit' "
             "WHEN event_type = 'signup' AND value < 10 THEN 'create_password_submit' "
@@ -197,7 +197,7 @@ def _texts(d: Dialect) -> dict[str, tuple[str, str]]:
             "ELSE 'account_terms' END")
     t["tracking"] = ("", f"""SELECT event_id AS id, {d.back('ts')} AS event_ts, {page} AS page,
       {email} AS user_name, CAST(CAST(ts AS DATE) AS STRING) AS session_id, user_id * 10 + 1 AS lms_customer_id,
-      CASE WHEN event_type = 'purchase' AND value >= 90 THEN user_id * 10 + 1 END AS known_id, value
+      CASE WHEN event_type = 'purchase' AND value >= 150 THEN user_id * 10 + 1 END AS known_id, value
       FROM events JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey""")
     t["visits"] = ("", f"""SELECT event_id AS id, {d.back('ts')} AS event_ts, {page} AS page,
       user_id * 10 + 1 AS lms_customer_id, CAST(CAST(ts AS DATE) AS STRING) AS session_id, value FROM events""")
@@ -249,7 +249,7 @@ def _texts(d: Dialect) -> dict[str, tuple[str, str]]:
       (7, 'House 2', 'HOUS%', DATE '1995-06-15', DATE '1999-03-31', 'DataCo', CAST(0.52 AS DECIMAL(18,2)), CAST(900 AS BIGINT))
       ) AS v(mapping_id, dm_name, pattern, start_date, expire_date, data_provider, unit_cost, total_mail_count)""")
     t["dm_log"] = ("leads0", f"""SELECT emailaddress AS email, state,
-      substr(affid, 1, 4) || state AS promo_code, received_time AS validation_date,
+      substr(affid, 1, 4) || substr(affid, 10, 2) AS promo_code, received_time AS validation_date,
       {d.addmin('received_time', '60')} AS create_datetime,
       CASE WHEN application_status = 'withdrawn' THEN 0 ELSE 1 END AS application_status,
       lms_application_id AS log_id FROM leads0""")

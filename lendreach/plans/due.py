@@ -88,7 +88,7 @@ def list_due_legacy(leads: DataFrame, loans: DataFrame, payments: DataFrame,
                       use_prefixes=False)
     df = (due.join(loan_side, F.col("loan_id") == F.col("id"))
           .filter("due_date > run_date")
-          .join(people, (F.col("debtor_client_id") == F.col("lms_customer_id"))
+          .join(people.drop("effective_date"), (F.col("debtor_client_id") == F.col("lms_customer_id"))
                 & (F.col("root_id") == F.col("lms_application_id")))
           .filter(F.col("is_late") == F.col("state").isin(list(late_states)).cast("int")))
     whole = F.col("is_late") == 1

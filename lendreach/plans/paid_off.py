@@ -49,8 +49,8 @@ def list_pays_off_legacy(leads: DataFrame, loans: DataFrame, payments: DataFrame
         (F.col("loan_status") == "pending paid off") & F.col("collection_start_date").isNull())
     df = due.join(closing.select("id", "root_id", "debtor_client_id"),
                   F.col("loan_id") == F.col("id"))
-    df = df.join(eligible(leads, rules, False, use_prefixes=False),
-                 (F.col("debtor_client_id") == F.col("lms_customer_id"))
+    people = eligible(leads, rules, False, use_prefixes=False).drop("effective_date")
+    df = df.join(people, (F.col("debtor_client_id") == F.col("lms_customer_id"))
                  & (F.col("root_id") == F.col("lms_application_id")))
     df = _limit(df, rates, income, rules)
     return list_rows(df, "PO", "run_date", job_id(F.col("run_date"), [], ("", "PO")), [
