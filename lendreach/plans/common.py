@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendreach.functions.flags import carve_out, not_test, optin_filter
-from lendreach.functions.text import external_email, job_id, name_case
+from lendreach.functions.text import changed_flag, external_email, job_id, name_case
 
 # Normalised (lower case) statuses.
 CLOSED = ("withdrawn", "withdraw", "originated", "approve")
@@ -89,3 +89,12 @@ def exclude_reactivated(df: DataFrame, leads: DataFrame, keys: Sequence[str], ba
     for k in keys:
         cond = cond & (F.col(k) == F.col(f"_{k}"))
     return left.join(seen, cond, "left_anti").drop("_base")
+
+
+def account_flags(accounts: DataFrame) -> DataFrame:
+    """Per lead: did routing or account number change between application and loan system?
+    Both sides are hashes."""
+    return accounts.select(
+        "lead_sequence_id", "no_bank_call",
+        changed_flag(F.col("lms_routing_hash"), F.col("app_routing_hash")).alias("routing_changed"),
+        changed_flag(F.col("lms_account_hash"), F.col("app_account_hash")).alias("account_changed"))

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from lendreach.functions.dates import hour_between
 from lendreach.functions.flags import one
 from lendreach.functions.money import max_limit
-from lendreach.functions.text import bank_verification, changed_flag
+from lendreach.functions.text import bank_verification
 from lendreach.operators.consent import add_phone, add_sms_consent
 from lendreach.operators.joins import exclude_later, in_windows
 from lendreach.operators.limits import rate_card_join
-from lendreach.plans.common import (CLOSED, Rules, allowed_place, eligible, list_rows, requested,
-                                    system_job)
+from lendreach.plans.common import (CLOSED, Rules, account_flags, allowed_place, eligible,
+                                    list_rows, requested, system_job)
 
 # The checklist steps and their flag names.
 TODO_FLAGS = {
@@ -148,10 +148,7 @@ def list_checklist(leads: DataFrame, todo: DataFrame, consent_state: DataFrame,
              .agg(F.count("completion_time"))
              .withColumnsRenamed(TODO_FLAGS))
     flags = list(TODO_FLAGS.values())
-    acc = accounts.select(
-        "lead_sequence_id", "no_bank_call",
-        changed_flag(F.col("lms_routing_hash"), F.col("app_routing_hash")).alias("routing_changed"),
-        changed_flag(F.col("lms_account_hash"), F.col("app_account_hash")).alias("account_changed"))
+    acc = account_flags(accounts)
     base = (base.join(steps, F.col("lms_application_id") == F.col("loan_header_id"), "left")
             .join(acc, "lead_sequence_id", "left")
             .join(consent_state, "lms_customer_id", "left")
