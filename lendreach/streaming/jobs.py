@@ -20,6 +20,11 @@ def read_events(spark: SparkSession, path: str, schema: T.StructType,
     return reader.parquet(path)
 
 
+def _watermarked(df: DataFrame, ts: str, late: str) -> DataFrame:
+    """Watermarks take zoned timestamps only; zone-free times are read in the session's UTC."""
+    return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
+
+
 def abandoned_stream(events: DataFrame, user: str = "user_id", ts: str = "ts",
                      page: str = "event_type", gap: str = "45 minutes", late: str = "10 minutes",
                      rejected: str = "error", submitted: str = "purchase") -> DataFrame:
@@ -29,13 +34,14 @@ def abandoned_stream(events: DataFrame, user: str = "user_id", ts: str = "ts",
     still arrives before that re-opens it. A user with no later traffic on the whole stream
     stays open: the watermark moves only with events.
     """
-    return (events.withWatermark(ts, late)
+    return (_watermarked(events, ts, late)
             .groupBy(F.session_window(ts, gap).alias("w"), user)
             .agg(F.max(ts).alias("dropoff_time"), F.count("*").alias("record_cnt"),
                  F.max(F.when(F.col(page).isin(rejected, submitted), 1).otherwise(0))
                  .alias("closed"))
             .filter("closed = 0")
-            .select(user, "dropoff_time", "record_cnt"))
+            .select(user, F.col("dropoff_time").cast("timestamp_ntz").alias("dropoff_time"),
+                    "record_cnt"))
 
 
 def funnel_stream(events: DataFrame, width: str = "60 minutes", slide: str | None = None,
@@ -44,15 +50,16 @@ def funnel_stream(events: DataFrame, width: str = "60 minutes", slide: str | Non
                   ) -> DataFrame:
     """Event counts per page and time window, tumbling or sliding."""
     w = F.window(ts, width, slide) if slide else F.window(ts, width)
-    return (events.withWatermark(ts, late).groupBy(w.alias("w"))
+    return (_watermarked(events, ts, late).groupBy(w.alias("w"))
             .agg(*[F.count(F.when(F.col(page) == p, 1)).alias(f"n_{p}") for p in pages])
-            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+            .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                    F.col("w.end").cast("timestamp_ntz").alias("window_end"),
                     *[f"n_{p}" for p in pages]))
 
 
 def dedupe_stream(lists: DataFrame, keys: Sequence[str], ts: str, period: str) -> DataFrame:
     """First row per key; repeats within the period are dropped."""
-    return lists.withWatermark(ts, period).dropDuplicatesWithinWatermark(list(keys))
+    return _watermarked(lists, ts, period).dropDuplicatesWithinWatermark(list(keys))
 
 
 def foreach_batch_writer(path: str, parts: Sequence[str]) -> Callable[[DataFrame, int], None]:
