@@ -165,8 +165,8 @@ def _(v):
 def _(v):
     history = v.leads0.filter("application_status = 'originated'").select(
         "person_id", "received_time", F.col("received_time").alias("at"))
-    return joins.asof_previous(v.leads0, history, ["person_id"], "received_time", "at",
-                               "previous").select(
+    return joins.asof_previous(v.leads0, ["person_id"], "received_time",
+                               {"previous": (history, "at")}).select(
         ID, "received_time", "previous", F.datediff(F.to_date("received_time"), F.to_date(
             "previous")).alias("days_since"))
 

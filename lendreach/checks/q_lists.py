@@ -465,9 +465,9 @@ def offers(v):
 def left(v, since, known=True):
     return ab.abandoned(v.tracking.filter(F.col("event_ts") <= EVENT_CTX.ts()), v.user_info,
                         v.leads0.filter("lms_code = 'LOC' and application_status = 'originated'"),
-                        F.lit(since), ("internal.example.com",),
+                        since, ("internal.example.com",),
                         [f"NATION_{n}" for n in range(25) if n != 9] if known else None,
-                        F.lit(dt.date(1997, 11, 20)) if known else None)
+                        dt.date(1997, 11, 20) if known else None)
 
 
 AB_VIEWS = "tracking user_info leads0 dm_log mail_map"

@@ -31,21 +31,16 @@ def _(v):
 @query("S02_append_history", "history", f"SELECT {LIST_SQL} FROM history WHERE list_module = 'PA' UNION ALL SELECT {LIST_SQL} FROM history")
 def _(v):
     path = fresh_path(v.spark, "append")
-    df = _by_module(_lists(v))
+    df = writers.gathered(_lists(v), ["list_module"])
     writers.append_history(df.filter("list_module = 'PA'"), path, ["list_module"])
     writers.append_history(df, path, ["list_module"])
     return _back(v, path)
 
 
-def _by_module(df):
-    """Few, large files: rows of a partition value meet, and big modules still spread by day."""
-    return df.repartition("list_module", "business_date")
-
-
 @query("S03_replace_run", "history", f"SELECT {LIST_SQL} FROM history WHERE list_module <> 'PA' UNION ALL SELECT {LIST_SQL} FROM history WHERE list_module = 'PA' AND state <> 'NATION_1'")
 def _(v):
     path = fresh_path(v.spark, "replace")
-    df = _by_module(_lists(v))
+    df = writers.gathered(_lists(v), ["list_module"])
     writers.append_history(df, path, ["list_module"])
     again = df.filter("list_module = 'PA' and state <> 'NATION_1'")
     writers.replace_run(again, path, ["list_module"])

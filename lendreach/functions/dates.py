@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -68,3 +70,18 @@ def call_centre_open(ts: Column) -> Column:
 def delinquency_due(days: Column, run_date: Column) -> Column:
     """Eleven days late; a Monday run also takes what fell due over the weekend."""
     return F.when(F.weekday(run_date) == 0, days.isin(11, 12, 13)).otherwise(days == 11)
+
+
+def instant(day: dt.date) -> Column:
+    """First instant of a day, as a zone-free timestamp."""
+    return F.lit(dt.datetime.combine(day, dt.time())).cast("timestamp_ntz")
+
+
+def within_days(c: Column, first: dt.date | None = None, last: dt.date | None = None) -> Column:
+    """Time falls on a day in [first, last]; compares the bare column, so scans can skip files."""
+    keep = F.lit(True)
+    if first is not None:
+        keep = keep & (c >= instant(first))
+    if last is not None:
+        keep = keep & (c < instant(last + dt.timedelta(days=1)))
+    return keep

@@ -4,7 +4,7 @@ splits otherwise. Every join here has an equality key, so it stays hashable."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from lendreach.operators.ranking import bucketed_last, pick_one
 
 SALTS = 16
+MAX_BUCKET = 6 * 3600
 
 
 @dataclass(frozen=True)
@@ -109,10 +110,10 @@ def interval_join(a: DataFrame, events: DataFrame, key: str, a_ts: str, e_ts: st
                   lo_minutes: int, hi_minutes: int) -> DataFrame:
     """Events of the same key within [a_ts + lo, a_ts + hi].
 
-    The key is joined together with a time bucket as wide as the interval, so the events
-    of one very active key spread over many partitions.
+    The key is joined together with a time bucket as wide as the interval, at most six hours,
+    so the events of one very active key spread over many partitions.
     """
-    width = max((hi_minutes - lo_minutes) * 60, 60)
+    width = min(max((hi_minutes - lo_minutes) * 60, 60), MAX_BUCKET)
 
     def bucket(c: Column) -> Column:
         return F.floor(F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), c)
@@ -165,21 +166,35 @@ def first_match(a: DataFrame, dim: DataFrame, row_keys: Sequence[str], order: Se
     return a.join(best, list(row_keys), "left")
 
 
-def asof_previous(df: DataFrame, history: DataFrame, keys: Sequence[str], ts: str,
-                  value: str, out: str) -> DataFrame:
-    """Latest ``history`` value of the same key strictly before each row's time.
+def asof_previous(df: DataFrame, keys: Sequence[str], ts: str,
+                  wanted: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Latest earlier values: for each name, the value of the most recent row of its history
+    (same keys, strictly before ``ts``).
 
-    ``history`` holds the keys, ``ts`` and ``value``. One value per key and time is kept
-    (the largest), then carried forward month by month, so no key is sorted in one task.
+    One value per key and time is kept (the largest). All histories share one pass, which
+    carries values forward by time bucket so that no key is sorted in one task. ``df`` is read
+    twice; call this before it has been enriched.
     """
-    seen = history.groupBy(*keys, ts).agg(F.max(value).alias("_v"))
-    wanted = df.select(*keys, ts).distinct()
-    marks = (seen.withColumn("_w", F.lit(0))
-             .unionByName(wanted.withColumn("_v", F.lit(None)).withColumn("_w", F.lit(1)),
-                          allowMissingColumns=True)
-             .groupBy(*keys, ts).agg(F.max("_v").alias("_v"), F.max("_w").alias("_w")))
-    filled = bucketed_last(marks, keys, ts, "_v", out)
-    return df.join(filled.filter("_w = 1").select(*keys, ts, out), [*keys, ts], "left")
+    names = list(wanted)
+    marks = df.select(*keys, ts).distinct().withColumn("_w", F.lit(1))
+    for name, (history, value) in wanted.items():
+        seen = history.groupBy(*keys, ts).agg(F.max(value).alias(name))
+        marks = marks.unionByName(seen, allowMissingColumns=True)
+    marks = marks.groupBy(*keys, ts).agg(F.max("_w").alias("_w"),
+                                         *[F.max(n).alias(n) for n in names])
+    filled = bucketed_last(marks, keys, ts, names).filter("_w = 1").select(*keys, ts, *names)
+    return df.join(filled, [*keys, ts], "left")
+
+
+def join_sparse(df: DataFrame, right: DataFrame, key: str, row: str) -> DataFrame:
+    """Left join on a key that is null in many rows.
+
+    Null keys never match but would all hash to one partition; each gets its own negative
+    stand-in made from the row's id. ``right`` has one row per key.
+    """
+    stand_in = F.coalesce(F.col(key), -F.col(row) - 1)
+    return (df.withColumn("_key", stand_in)
+            .join(right.withColumnRenamed(key, "_key"), "_key", "left").drop("_key"))
 
 
 def match_calls(lst: DataFrame, calls: DataFrame, phone: str, called: str, call_ts: str,

@@ -40,43 +40,46 @@ def current_version(df: DataFrame, keys: Sequence[str], version: str) -> DataFra
     return latest_per(df, keys, version, "keep")
 
 
-def _bucket(ts: str) -> Column:
-    return F.trunc(F.to_date(F.col(ts)), "month")
+def _bucket(ts: str, grain: str) -> Column:
+    return F.date_trunc(grain, F.col(ts))
 
 
 def sequence_number(df: DataFrame, keys: Sequence[str], ts: str, ties: Sequence[str],
-                    out: str) -> DataFrame:
-    """1, 2, 3 ... per key in time order, computed month by month.
+                    out: str, grain: str = "day") -> DataFrame:
+    """1, 2, 3 ... per key in time order, computed one time bucket at a time.
 
-    Months are numbered on their own; each adds the count of the key's earlier months. The
-    month totals are one small row per key and month.
+    Buckets are numbered on their own; each adds the count of the key's earlier buckets. The
+    bucket totals are one small row per key and bucket, so the only window over a whole key
+    sees at most one row per bucket.
     """
-    rows = df.withColumn("_m", _bucket(ts))
-    months = rows.groupBy(*keys, "_m").agg(F.count("*").alias("_n"))
+    rows = df.withColumn("_m", _bucket(ts, grain))
+    totals = rows.groupBy(*keys, "_m").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_m").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = months.select(*keys, "_m", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
+    offsets = totals.select(*keys, "_m", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
     inside = Window.partitionBy(*keys, "_m").orderBy(ts, *ties)
-    return (rows.withColumn("_i", F.row_number().over(inside))
+    return (rows.repartition(*keys, "_m").withColumn("_i", F.row_number().over(inside))
             .join(offsets, [*keys, "_m"])
             .withColumn(out, (F.col("_i") + F.col("_o")).cast("int"))
             .drop("_m", "_i", "_o"))
 
 
-def bucketed_last(df: DataFrame, keys: Sequence[str], ts: str, value: str, out: str) -> DataFrame:
-    """Last non-null value strictly before each row, computed month by month.
-
-    Expects one row per key and time.
-    """
-    rows = df.withColumn("_m", _bucket(ts))
-    months = rows.groupBy(*keys, "_m").agg(
-        F.max_by(value, F.when(F.col(value).isNotNull(), F.col(ts))).alias("_l"))
+def bucketed_last(df: DataFrame, keys: Sequence[str], ts: str, values: Sequence[str],
+                  grain: str = "day") -> DataFrame:
+    """Each value column becomes its last non-null value strictly before the row, computed one
+    time bucket at a time. Expects one row per key and time."""
+    rows = df.withColumn("_m", _bucket(ts, grain))
+    lasts = rows.groupBy(*keys, "_m").agg(*[
+        F.max_by(v, F.when(F.col(v).isNotNull(), F.col(ts))).alias(v) for v in values])
     before = Window.partitionBy(*keys).orderBy("_m").rowsBetween(Window.unboundedPreceding, -1)
-    carry = months.select(*keys, "_m", F.last("_l", ignorenulls=True).over(before).alias("_c"))
+    carry = lasts.select(*keys, "_m", *[F.last(v, ignorenulls=True).over(before).alias(f"_c_{v}")
+                                        for v in values])
     inside = (Window.partitionBy(*keys, "_m").orderBy(ts)
               .rowsBetween(Window.unboundedPreceding, -1))
-    return (rows.withColumn("_p", F.last(value, ignorenulls=True).over(inside))
-            .join(carry, [*keys, "_m"])
-            .withColumn(out, F.coalesce("_p", "_c")).drop("_m", "_p", "_c"))
+    near = rows.repartition(*keys, "_m").withColumns(
+        {f"_p_{v}": F.last(v, ignorenulls=True).over(inside) for v in values})
+    out = near.join(carry, [*keys, "_m"])
+    return out.withColumns({v: F.coalesce(f"_p_{v}", f"_c_{v}") for v in values}).drop(
+        "_m", *[f"_{x}_{v}" for x in "pc" for v in values])
 
 
 def first_payment(items: DataFrame, loan: str, item_id: str, order: Sequence[str]) -> DataFrame:

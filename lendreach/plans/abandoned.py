@@ -5,24 +5,35 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendreach.context import RunContext
-from lendreach.functions.flags import one
+from lendreach.functions.dates import within_days
+from lendreach.functions.flags import flag_any, one
 from lendreach.functions.text import job_id, name_case
 from lendreach.operators.joins import exclude, pattern_range_join
 from lendreach.operators.ranking import current_version, pick_one, resolve_codes
 
 
-def last_activity(events: DataFrame, info: DataFrame, since: Column,
-                  skip_domains: Sequence[str]) -> DataFrame:
-    """Last activity and event count per web user without a lead, with the form data."""
-    keep = F.to_date("event_ts") >= since
+def last_activity(events: DataFrame, info: DataFrame, since: dt.date,
+                  skip_domains: Sequence[str], known_since: dt.date | None = None) -> DataFrame:
+    """Last activity and event count per web user since a day, with the form data; users ever
+    rejected, or known as customers since ``known_since``, are left out.
+
+    All of it comes from one aggregation of the events.
+    """
+    keep = F.lit(True)
     for d in skip_domains:
         keep = keep & ~F.lower("user_name").endswith(d.lower())
+    recent = within_days(F.col("event_ts"), since)
+    known = F.lit(False) if known_since is None else (
+        (F.col("known_id") > 0) & within_days(F.col("event_ts"), known_since))
     seen = events.filter(keep).groupBy("user_name").agg(
-        F.max("event_ts").alias("dropoff_time"), F.count("id").alias("record_cnt"))
+        F.max(F.when(recent, F.col("event_ts"))).alias("dropoff_time"),
+        F.count(F.when(recent, F.col("id"))).alias("record_cnt"),
+        flag_any((F.col("page") == "reject") | known).alias("_out"))
+    seen = seen.filter("_out = 0 and dropoff_time is not null").drop("_out")
     form = info.select(F.col("email").alias("user_name"), "firstname", "state", "amount")
     return seen.join(form, "user_name", "left")
 
@@ -47,21 +58,14 @@ def mail_offers(log: DataFrame, amounts: DataFrame, mapping: DataFrame,
         "email", "promo_code", "offer", "expire_date")
 
 
-def abandoned(events: DataFrame, info: DataFrame, leads: DataFrame, since: Column,
+def abandoned(events: DataFrame, info: DataFrame, leads: DataFrame, since: dt.date,
               skip_domains: Sequence[str], states: Sequence[str] | None = None,
-              known_since: Column | None = None) -> DataFrame:
+              known_since: dt.date | None = None) -> DataFrame:
     """Users who stopped: never rejected, not accepted under that address, and (optionally) not
     known as a customer since a date."""
-    df = last_activity(events, info, since, skip_domains)
-    df = exclude(df, events.filter("page = 'reject'"), ["user_name"])
+    df = last_activity(events, info, since, skip_domains, known_since)
     df = exclude(df, leads.select(F.col("emailaddress").alias("user_name")), ["user_name"])
-    if states is not None:
-        df = df.filter(F.col("state").isin(list(states)))
-    if known_since is not None:
-        known = events.filter((F.col("known_id") > 0)
-                              & (F.to_date("event_ts") >= known_since))
-        df = exclude(df, known, ["user_name"])
-    return df
+    return df if states is None else df.filter(F.col("state").isin(list(states)))
 
 
 def _rows(df: DataFrame, ctx: RunContext, module: str, offers: DataFrame | None) -> DataFrame:

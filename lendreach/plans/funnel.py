@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendreach.functions.flags import cond_agg, flag_any, one
-from lendreach.operators.joins import interval_join, keep_in
+from lendreach.operators.joins import interval_join
 from lendreach.operators.ranking import first_visit, page_dwell
 
 # The pages of the internal funnel.
@@ -30,14 +30,17 @@ def flag_name(page: str) -> str:
 def funnel_internal(events: DataFrame, start: str, since, pages: Sequence[str] = INTERNAL_PAGES,
                     key: str = "user_name") -> DataFrame:
     """Page flags per user for users who began at the start page since a date, and the two
-    reject positions (before and after pre-approval)."""
+    reject positions (before and after pre-approval).
+
+    Whether a user began is one more flag of the same aggregation: no second pass, no join.
+    """
     recent = events.filter(F.col("event_ts") >= since)
-    started = recent.filter(F.col("page") == start)
     page = F.col("page")
     flags = [flag_any(page == p).alias(flag_name(p)) for p in pages]
-    df = keep_in(recent, started, [key]).groupBy(key).agg(
-        *flags, flag_any(page == "reject").alias("reject"),
+    df = recent.groupBy(key).agg(
+        flag_any(page == start).alias("_started"), *flags, flag_any(page == "reject").alias("reject"),
         flag_any(page.contains("-ro")).alias("is_rollback"), F.count("*").alias("events"))
+    df = df.filter("_started = 1").drop("_started")
     pre, bank = flag_name("pre_approved_submit"), flag_name("banking_info_submit")
     extra = []
     if pre in df.columns:

@@ -9,13 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendreach.context import RunContext
-from lendreach.functions.flags import (cond_agg, flag_any, one, reject_reason, usable_phone)
+from lendreach.functions.dates import instant, within_days
+from lendreach.functions.flags import cond_agg, flag_any, one, reject_reason, usable_phone
 from lendreach.functions.money import bid_band, rate
 from lendreach.functions.text import clean_money, list_key, valid_state
 from lendreach.operators.aggregates import by_period, regroup, union_distinct
 from lendreach.operators.consent import email_consent
 from lendreach.operators.history import update_from
-from lendreach.operators.joins import (Lookup, enrich, interval_join, link_sequence, match_calls,
+from lendreach.operators.joins import (interval_join, join_sparse, match_calls,
                                        pattern_range_join)
 from lendreach.operators.ranking import pick_one
 
@@ -70,10 +71,9 @@ def affiliate_detail(apps: DataFrame, leads: DataFrame, fpd: DataFrame,
                      & ~F.col("decision_detail").like("Flow%"))
     loan = leads.select("lead_sequence_id", "origination_loan_id", F.col("approved_amount")
                         .alias("_amount"))
-    df = enrich(df, [Lookup(loan, ["lead_sequence_id"], ["origination_loan_id", "_amount"],
-                            unique=True),
-                     Lookup(fpd.select("origination_loan_id", "is_fpd"), ["origination_loan_id"],
-                            ["is_fpd"], unique=True)])
+    df = df.join(loan, "lead_sequence_id", "left")
+    df = join_sparse(df, fpd.select("origination_loan_id", "is_fpd"), "origination_loan_id",
+                     "lead_sequence_id")
     return df.select(
         "lead_sequence_id", "insert_date", valid_state(F.col("state"), width=8).alias("state"),
         "product", F.lit(1).alias("is_look"), one(unique).alias("is_unique_look"),
@@ -106,7 +106,8 @@ def mail_response(pieces: DataFrame, apps: DataFrame, fact: DataFrame, group: st
         F.col("affid").alias(code_col), "state", "lead_sequence_id", "is_accepted",
         "first_insert_date", "recent_insert_date", "uw_cost")
     loan = fact.select("lead_sequence_id", "isoriginated", "loan_status", "approved_amount")
-    df = pieces.join(codes, [code_col, "state"], "left").join(loan, "lead_sequence_id", "left")
+    df = join_sparse(pieces.join(codes, [code_col, "state"], "left"), loan, "lead_sequence_id",
+                     "piece_id")
     return df.select(F.lit(group).alias("group_split"), "piece_id", code_col, "state",
                      one(F.col("lead_sequence_id").isNotNull()).alias("is_applied"),
                      F.coalesce("is_accepted", F.lit(0)).alias("is_accepted"),
@@ -131,8 +132,8 @@ def mail_totals(apps: DataFrame, mapping: DataFrame, ctx: RunContext,
     Mailings in ``state_rules`` count only applications that fit their rule.
     """
     running = F.col("expire_date") >= F.date_sub(ctx.date(), 1)
-    recent = apps.filter((F.to_date("insert_date") >= F.date_sub(ctx.date(), back))
-                         & (F.to_date("insert_date") <= ctx.date()))
+    recent = apps.filter(within_days(F.col("insert_date"),
+                                     ctx.run_date - dt.timedelta(days=back), ctx.run_date))
     hit = _coded(recent, mapping.filter(running))
     for mapping_id, rule in (state_rules or {}).items():
         hit = hit.filter((F.col("mapping_id") != mapping_id) | rule)
@@ -149,8 +150,9 @@ def mail_campaigns(apps: DataFrame, mapping: DataFrame, leads: DataFrame, fpd: D
     loan = leads.filter("isoriginated = 1").select(
         "lead_sequence_id", F.col("approved_amount").alias("_amount"), F.lit(1).alias("_loan"),
         "origination_loan_id")
-    df = (hit.join(loan, "lead_sequence_id", "left")
-          .join(fpd.select("origination_loan_id", "is_fpd"), "origination_loan_id", "left"))
+    df = join_sparse(hit.join(loan, "lead_sequence_id", "left"),
+                     fpd.select("origination_loan_id", "is_fpd"), "origination_loan_id",
+                     "lead_sequence_id")
     fine = df.groupBy("dm_name", "start_date", "total_mail_count", "unit_cost").agg(
         F.sum("uw_cost").alias("uw_cost"), F.count("*").alias("applied"),
         F.count(F.when(F.upper("decision") == "ACCEPT", 1)).alias("accepted"),
@@ -221,8 +223,10 @@ def post_campaign(history: DataFrame, leads: DataFrame, events: DataFrame, draws
     back = seen.groupBy("email").agg(F.min("event_ts").alias("comeback_time"),
                                      flag_any(F.col("page") == "payment_schedule_submit")
                                      .alias("_submit"))
-    df = df.join(back, "email", "left").join(draws, F.col("origination_loan_id")
-                                             == F.col("base_loan_id"), "left")
+    df = df.join(back, "email", "left").withColumn("_row", F.abs(F.xxhash64("email") / 2)
+                                                   .cast("bigint"))
+    df = join_sparse(df, draws.withColumnRenamed("base_loan_id", "origination_loan_id"),
+                     "origination_loan_id", "_row")
     right, early = F.col("is_correct_sent") == 1, F.col("is_correct_sent") == 11
     inside = F.col("accepted_time").between(F.col("last_contact"), F.col("evaluation_end"))
     return df.select(
@@ -347,9 +351,10 @@ def campaign_outcome(apps: DataFrame, leads: DataFrame, fpd: DataFrame,
     lead = leads.filter("isuniqueaccept = 1").select(
         "lead_sequence_id", "lms_code", "loan_status", "isoriginated", "approved_amount",
         "withdrawn_reason", "origination_loan_id")
-    df = (apps.filter(F.col("campaign_name").isin(list(campaigns)))
-          .join(lead, "lead_sequence_id", "left")
-          .join(fpd.select("origination_loan_id", "is_fpd"), "origination_loan_id", "left"))
+    df = join_sparse(apps.filter(F.col("campaign_name").isin(list(campaigns)))
+                     .join(lead, "lead_sequence_id", "left"),
+                     fpd.select("origination_loan_id", "is_fpd"), "origination_loan_id",
+                     "lead_sequence_id")
     return df.select("lead_sequence_id", "insert_date", "campaign_name", "state", "product",
                      one(accept).alias("is_accept"), one(unique).alias("is_unique_look"),
                      "lms_code", F.coalesce("isoriginated", F.lit(0)).alias("is_originated"),
@@ -422,9 +427,9 @@ def list_volume(history: DataFrame, specs: Sequence[tuple[str | None, Column, Se
 def bad_leads(leads: DataFrame, providers: DataFrame, reasons: Sequence[str], ctx: RunContext,
               days: int = 14) -> DataFrame:
     """Paid leads withdrawn for bad-lead reasons in the last ``days``, by provider group."""
-    day = F.to_date("withdrawn_time")
     df = leads.filter(F.col("withdrawn_reason").isin(list(reasons)) & (F.col("lead_cost") > 1)
-                      & (day >= F.date_sub(ctx.date(), days)) & (day < ctx.date()))
+                      & within_days(F.col("withdrawn_time"), ctx.shifted(-days).run_date,
+                                    ctx.shifted(-1).run_date))
     return regroup(df, "provider_name", providers, "provider_group", None).select(
         "provider_group", "lms_application_id", "state", "campaign_name", "lead_cost",
         F.to_date("received_time").alias("received_date"), "isoriginated", "application_status",
@@ -434,9 +439,9 @@ def bad_leads(leads: DataFrame, providers: DataFrame, reasons: Sequence[str], ct
 def lead_performance(leads: DataFrame, events: DataFrame, providers: DataFrame, ctx: RunContext,
                      welcome: Sequence[str], days: int = 60) -> DataFrame:
     """Paid new leads of the last ``days`` with a redirect flag ([-2, +5] minutes)."""
-    day = F.to_date("received_time")
     df = leads.filter((F.col("loan_sequence") == 1) & (F.col("lead_cost") > 1)
-                      & day.between(F.date_sub(ctx.date(), days), F.date_sub(ctx.date(), 1)))
+                      & within_days(F.col("received_time"), ctx.shifted(-days).run_date,
+                                    ctx.shifted(-1).run_date))
     hit = interval_join(df.select("lms_application_id", "lms_customer_id", "received_time"),
                         events.filter(F.col("page").isin(list(welcome)))
                         .select("lms_customer_id", "event_ts"),
@@ -452,7 +457,7 @@ def lead_performance(leads: DataFrame, events: DataFrame, providers: DataFrame,
 def referral_outcome(referred: DataFrame, apps: DataFrame, leads: DataFrame, schedules: DataFrame,
                      items: DataFrame, since: dt.date) -> DataFrame:
     """Referred addresses: applied, accepted, and top-ups with their amount since a date."""
-    tried = apps.filter(F.to_date("insert_date") >= F.lit(since)).groupBy("email").agg(
+    tried = apps.filter(within_days(F.col("insert_date"), since)).groupBy("email").agg(
         F.count("*").alias("applications"),
         flag_any(F.upper("decision") == "ACCEPT").alias("is_accept"),
         F.max("insert_date").alias("last_apply_time"))
@@ -477,8 +482,9 @@ def missing_stage(apps: DataFrame, headers: DataFrame, leads: DataFrame, fact: D
     h = headers.select("lead_sequence_id", "loan_header_id")
     la = leads.select(F.col("lms_application_id").alias("loan_header_id"), F.lit(1).alias("_la"))
     n = fact.select(F.col("original_lead_id").alias("loan_header_id"), F.lit(1).alias("_fact"))
-    df = (apps.filter(F.upper("decision") == "ACCEPT").join(h, "lead_sequence_id", "left")
-          .join(la, "loan_header_id", "left").join(n, "loan_header_id", "left"))
+    df = apps.filter(F.upper("decision") == "ACCEPT").join(h, "lead_sequence_id", "left")
+    df = join_sparse(df, la, "loan_header_id", "lead_sequence_id")
+    df = join_sparse(df, n, "loan_header_id", "lead_sequence_id")
     return df.select("lead_sequence_id", F.to_date("insert_date").alias("insert_day"),
                      F.when(F.col("loan_header_id").isNull(), "NOT IN LMS")
                      .when(F.col("_la").isNull(), "NOT IN LA")
@@ -488,10 +494,10 @@ def missing_stage(apps: DataFrame, headers: DataFrame, leads: DataFrame, fact: D
 
 def withdrawn_extract(leads: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     """Paid first applications received in [start, end) and withdrawn, one per customer."""
-    day = F.to_date("received_time")
     df = leads.filter(F.col("application_status").isin("withdrawn", "withdraw")
                       & (F.col("loan_sequence") == 1) & (F.col("lead_cost") > 1)
-                      & (day >= F.lit(start)) & (day < F.lit(end)))
+                      & (F.col("received_time") >= instant(start))
+                      & (F.col("received_time") < instant(end)))
     df = pick_one(df, ["lms_customer_id"], [F.col("received_time").desc(),
                                             F.col("lms_application_id").desc()])
     return df.select("lms_customer_id", "lms_application_id", "state", "product", "provider_name",
@@ -504,8 +510,8 @@ def withdrawn_extract(leads: DataFrame, start: dt.date, end: dt.date) -> DataFra
 def lead_detail(apps: DataFrame, leads: DataFrame, providers: DataFrame,
                 start: dt.date, end: dt.date) -> DataFrame:
     """Accepted underwriting leads received in [start, end): bid band, cost, decision label."""
-    day = F.to_date("insert_date")
-    df = apps.filter((F.upper("decision") == "ACCEPT") & (day >= F.lit(start)) & (day < F.lit(end)))
+    df = apps.filter((F.upper("decision") == "ACCEPT") & (F.col("insert_date") >= instant(start))
+                     & (F.col("insert_date") < instant(end)))
     info = leads.select("lead_sequence_id", "isreturning", "loan_sequence")
     df = regroup(df, "lead_provider_id", providers, "lead_provider_name", None).join(
         info, "lead_sequence_id", "left")

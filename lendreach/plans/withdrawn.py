@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendreach.context import RunContext
+from lendreach.functions.dates import within_days
 from lendreach.functions.flags import one
 from lendreach.functions.text import valid_mail_ending
 from lendreach.operators.calendar import weekday_rota
@@ -75,7 +76,7 @@ def list_withdrawn_aged(leads: DataFrame, allowed: DataFrame, ctx: RunContext, r
     """Withdrawn at least ``days`` ago with a positive limit; empty unless the run date is
     among the allowed dates."""
     base = withdrawn_new(leads, rules).filter(
-        (F.to_date("withdrawn_time") <= F.date_sub(ctx.date(), days))
+        within_days(F.col("withdrawn_time"), last=ctx.shifted(-days).run_date)
         & (F.col("maxloanlimit") > 0))
     base = exclude(base, live_customers(leads), ["lms_customer_id"])
     base = base.withColumn("run_date", ctx.date()).join(allowed, "run_date", "left_semi")
@@ -88,7 +89,8 @@ def list_winback(leads: DataFrame, caps: DataFrame, consent: DataFrame, customer
                  min_days: int = 30, module: str = "WA-PRJ") -> DataFrame:
     """Long-run win-back: one row per mail address, its last withdrawal, by weekday rota."""
     base = withdrawn_new(leads, rules, WINBACK_REASONS).filter(
-        F.col("state").isin(list(states)) & (F.to_date("withdrawn_time") <= ctx.date()))
+        F.col("state").isin(list(states)) & within_days(F.col("withdrawn_time"),
+                                                        last=ctx.run_date))
     base = latest_per(base, ["lms_code", "lms_customer_id"], "withdrawn_time")
     base = exclude(base, live_customers(leads), ["emailaddress"])
     base = latest_per(base, ["emailaddress"], "withdrawn_time", "one",

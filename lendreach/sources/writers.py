@@ -21,6 +21,13 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
                        .alias(f.name) for f in schema])
 
 
+def gathered(df: DataFrame, parts: Sequence[str] = LIST_PARTITIONS, spread: int = 4) -> DataFrame:
+    """Bring the rows of a partition value together in at most ``spread`` tasks, so a write
+    makes few files without putting a large partition into one task."""
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(spread))
+    return df.repartition(*[F.col(p) for p in parts], salt)
+
+
 def append_history(df: DataFrame, path: str, parts: Sequence[str] = LIST_PARTITIONS) -> None:
     df.write.mode("append").partitionBy(*parts).parquet(path)
 
