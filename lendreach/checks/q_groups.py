@@ -98,7 +98,7 @@ def _(v):
 
 @query("A11_balance", "transactions", "SELECT base_loan_id, CAST(sum(-principal_amount) AS DOUBLE) AS owed FROM transactions GROUP BY 1")
 def _(v):
-    return aggregates.balance(v.transactions, "base_loan_id", "principal_amount", "owed")
+    return aggregates.balance(v.transactions, "base_loan_id", {"owed": "principal_amount"})
 
 
 @query("A12_weighted_cost", "leads0", """SELECT campaign_name, round(CAST(sum(lead_cost) AS DOUBLE) / nullif(CAST(sum(isoriginated) AS DOUBLE), 0), 6) AS cost_per_loan

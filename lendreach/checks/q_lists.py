@@ -143,8 +143,7 @@ def _windows(v, *args):
   JOIN runs ON run_date = CAST(received_time AS DATE) WHERE application_status = 'pending' AND {SEQ_RC} AND hour(received_time) < 15 AND {OK} AND {still_open('la.received_time')}""")
 def _(v):
     r = runs(v, "named")
-    return pending.list_pending_today(v.leads, v.rates, r, RULES, "PA_0", False).unionByName(
-        pending.list_pending_today(v.leads, v.rates, r, RULES, "PA_0", True))
+    return pending.list_pending_today(v.leads, v.rates, r, RULES, "PA_0")
 
 
 @query("L06_list_pending_esign", f"leads rates todo customer_flat cal holidays {CONSENT_VIEWS}", f"""WITH {NAMED}, {CONSENT}, steps AS (SELECT loan_header_id, count(DISTINCT todo_name) AS todo_item_cnt,
@@ -188,16 +187,14 @@ def _(v):
 
 @query("L08_list_pending_first", f"leads rates cal holidays {CONSENT_VIEWS}", window_sql(WIN1, "PA", "PA_RC"))
 def _(v):
-    w, c = _windows(v), optin(v)
-    return pending.list_pending_window(v.leads, v.rates, c, w, RULES, "PA", False, KEY_WORDS).unionByName(
-        pending.list_pending_window(v.leads, v.rates, c, w, RULES, "PA_RC", True, KEY_WORDS))
+    return pending.list_pending_window(v.leads, v.rates, optin(v), _windows(v), RULES, "PA", "PA_RC",
+                                       KEY_WORDS)
 
 
 @query("L09_list_pending_second", f"leads rates cal holidays {CONSENT_VIEWS}", window_sql(WIN2, "PA2", "PA2_RC"))
 def _(v):
-    w, c = _windows(v, 2, -2, 4, -4), optin(v)
-    return pending.list_pending_window(v.leads, v.rates, c, w, RULES, "PA2", False, KEY_WORDS).unionByName(
-        pending.list_pending_window(v.leads, v.rates, c, w, RULES, "PA2_RC", True, KEY_WORDS))
+    return pending.list_pending_window(v.leads, v.rates, optin(v), _windows(v, 2, -2, 4, -4), RULES, "PA2", "PA2_RC",
+                                       KEY_WORDS)
 
 
 # ---- withdrawn -------------------------------------------------------------------------------
@@ -234,9 +231,8 @@ WED = dt.date(1999, 3, 3)
 @query("L12_list_withdrawn_aged", "leads", f"""WITH z AS (SELECT *, DATE '{WED}' AS run_date FROM leads WHERE CAST(withdrawn_time AS DATE) <= DATE '{WED}' - 30 AND maxloanlimit > 0
   AND {WBASE} AND {PLACE} AND lms_customer_id NOT IN {LIVE}) {last_of('z', 'WAB', 'NULL')}""")
 def _(v):
-    allowed = runs(v, "biweekly")
     ctx = RunContext(dt.datetime.combine(WED, dt.time(9)))
-    return withdrawn.list_withdrawn_aged(v.leads, allowed, ctx, RULES)
+    return withdrawn.list_withdrawn_aged(v.leads, ctx, RULES)
 
 
 WIN_STATES = tuple(f"NATION_{n}" for n in range(0, 25) if n != 9)

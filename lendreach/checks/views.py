@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lendreach.operators import calendar as cal_ops
 from lendreach.operators.ranking import sequence_number
+from lendreach.session import cut_lineage
 
 RUN_DATE = dt.date(1998, 3, 2)          # a Monday
 EVENT_RUN = dt.datetime(1998, 1, 20, 12, 0)  # events shifted into the orders' years
@@ -325,6 +326,12 @@ _DUCK["cal"] = ("cal0", """SELECT *, coalesce(max(CASE WHEN weekend + holiday =
   OVER (ORDER BY ori_date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), ori_date) AS post_target_date FROM cal0""")
 
 
+# Written once per session and folder, then read like any table: the applications (their loan
+# sequence needs a shuffle of every row) and the calendar (one row per day).
+STORED = ("leads", "cal", "holidays")
+_written: dict[tuple[str, str, str], DataFrame] = {}
+
+
 class Views:
     """Domain views for one data folder on Spark; each is built on first use."""
 
@@ -339,9 +346,15 @@ class Views:
         if name.startswith("_"):
             raise AttributeError(name)
         if name not in self._made:
-            self._made[name] = self._build(name)
+            self._made[name] = self._stored(name) if name in STORED else self._build(name)
         return self._made[name]
 
+    def _stored(self, name: str) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _written:
+            _written[key] = cut_lineage(self._build(name), name)
+        return _written[key]
+
     def _build(self, name: str) -> DataFrame:
         if name in RAW:
             return self.raw(name)

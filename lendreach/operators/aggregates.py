@@ -44,9 +44,9 @@ def rollup_labels(df: DataFrame, keys: Sequence[str], column: str, mapping: Data
     return regroup(fine, column, mapping, "label", None).groupBy(*keys, "label").agg(*outer)
 
 
-def balance(txns: DataFrame, loan: str, amount: str, out: str) -> DataFrame:
-    """Outstanding amount per loan: transactions summed with the sign turned."""
-    return txns.groupBy(loan).agg(F.sum(-F.col(amount)).alias(out))
+def balance(txns: DataFrame, loan: str, amounts: Mapping[str, str]) -> DataFrame:
+    """Outstanding amounts per loan (name -> column): transactions summed with the sign turned."""
+    return txns.groupBy(loan).agg(*[F.sum(-F.col(c)).alias(out) for out, c in amounts.items()])
 
 
 def union_distinct(first: DataFrame, *rest: DataFrame) -> DataFrame:

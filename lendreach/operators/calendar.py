@@ -80,6 +80,11 @@ def run_allowed(cal: DataFrame, holidays: DataFrame, run_dates: DataFrame,
     return d.select("run_date", F.when(ok, 1).otherwise(0).alias("allowed"))
 
 
+def is_biweekly(day: dt.date) -> bool:
+    """First or third Wednesday of the month."""
+    return day.weekday() == 2 and (day.day - 1) // 7 + 1 in (1, 3)
+
+
 def allowed_dates(cal: DataFrame, holidays: DataFrame, run_dates: DataFrame,
                   policy: str) -> DataFrame:
     return run_allowed(cal, holidays, run_dates, policy).filter("allowed = 1").select("run_date")

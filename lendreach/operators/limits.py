@@ -25,13 +25,18 @@ def rate_product(state: Column, product: Column, store: Column,
 
 def rate_card_join(df: DataFrame, rates: DataFrame, frequency: Column, step: int = 0,
                    remap: Sequence[tuple[str, str, str, str]] = (), cap: int = MAX_SEQUENCE,
-                   ) -> DataFrame:
-    """Left join on state, product variant, capped loan sequence and pay frequency."""
+                   remap_where: Column | None = None) -> DataFrame:
+    """Left join on state, product variant, capped loan sequence and pay frequency.
+
+    ``remap_where`` limits the variants to some rows; the others keep their product.
+    """
     r = rates.select(F.col("state_code").alias("_state"), F.col("product_code").alias("_product"),
                      F.col("loan_sequence").alias("_seq"), F.col("pay_frequency").alias("_freq"),
                      "rpp", "hardcap", "min_amt")
-    left = (df.withColumn("_p", rate_product(F.col("state"), F.col("product"), F.col("storename"),
-                                             remap))
+    variant = rate_product(F.col("state"), F.col("product"), F.col("storename"), remap)
+    if remap_where is not None:
+        variant = F.when(remap_where, variant).otherwise(F.col("product"))
+    left = (df.withColumn("_p", variant)
             .withColumn("_s", F.least(F.col("loan_sequence") + step, F.lit(cap)))
             .withColumn("_f", frequency))
     cond = ((F.col("state") == F.col("_state")) & (F.col("_p") == F.col("_product"))

@@ -56,11 +56,12 @@ def system_job(rules: Rules, date: Column) -> Column:
                          for code, suffix in rules.job_suffix.items()])
 
 
-def list_rows(df: DataFrame, module: str, date: str, job: Column,
+def list_rows(df: DataFrame, module: str | Column, date: str, job: Column,
               extras: Sequence[Column | str] = ()) -> DataFrame:
     """The common list columns plus extras, without repeated rows."""
+    name = F.lit(module) if isinstance(module, str) else module
     return df.select(
-        F.col(date).alias("business_date"), F.lit(module).alias("list_module"),
+        F.col(date).alias("business_date"), name.alias("list_module"),
         job.alias("job_id"), "lms_customer_id", "lms_application_id", "received_time", "lms_code",
         "state", "product", "loan_sequence", F.col("emailaddress").alias("email"),
         name_case(F.col("customer_firstname")).alias("customer_firstname"),

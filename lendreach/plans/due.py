@@ -136,8 +136,8 @@ def list_due_payoff(leads: DataFrame, loans: DataFrame, schedules: DataFrame, it
     cycles = cycle_number(items.filter("total_amount > 0"), "payment_schedule_id", "item_date",
                           F.col("status").isin(*CYCLE_STATES)).filter("cycle_number = 1")
     df = df.join(cycles, ["payment_schedule_id", "item_date"])
-    owed = (balance(txns, "base_loan_id", "principal_amount", "principal_owed")
-            .join(balance(txns, "base_loan_id", "fee_amount", "fee_owed"), "base_loan_id"))
+    owed = balance(txns, "base_loan_id", {"principal_owed": "principal_amount",
+                                          "fee_owed": "fee_amount"})
     df = (df.join(fees, "base_loan_id", "left").join(owed, "base_loan_id", "left")
           .join(refunds.select("entity_id", "timespan", "refund_percent"),
                 (F.col("lms_entity_id") == F.col("entity_id"))

@@ -91,7 +91,7 @@ def list_paid_off(leads: DataFrame, loans: DataFrame, txns: DataFrame, cal: Data
     paid = paid.withColumn("_day", F.when(F.weekday("paid_off_date") >= 5,
                                           F.col("pre_target_date"))
                            .otherwise(F.col("paid_off_date")))
-    owed = balance(txns, "base_loan_id", "principal_amount", "owed").filter("owed = 0")
+    owed = balance(txns, "base_loan_id", {"owed": "principal_amount"}).filter("owed = 0")
     paid = paid.join(owed, "base_loan_id", "left_semi").select(
         "loan_header_id", "paid_off_date", F.col("_day").alias("paid_day"))
     windows = run_dates.withColumn("std_date", F.date_sub("run_date", back)).withColumn(

@@ -29,10 +29,15 @@ def _still_open(df: DataFrame, leads: DataFrame, day: Column) -> DataFrame:
     return exclude_later(df, closed, "lms_customer_id", day, F.to_date("received_time"))
 
 
-def _new_or_returning(df: DataFrame, returning: bool) -> DataFrame:
-    if returning:
-        return df.filter("loan_sequence > 1 and isreturning = 1")
-    return df.filter("loan_sequence = 1 and isreturning = 0")
+def _named(df: DataFrame, new: str | None, returning: str | None) -> DataFrame:
+    """Mark new and returning customers with their list's name; rows of neither are dropped.
+
+    Both lists come from one pass over the applications.
+    """
+    is_new = (F.col("loan_sequence") == 1) & (F.col("isreturning") == 0)
+    is_back = (F.col("loan_sequence") > 1) & (F.col("isreturning") == 1)
+    name = F.when(is_new, F.lit(new)).when(is_back, F.lit(returning))
+    return df.withColumn("_module", name).filter("_module is not null")
 
 
 def _key_word(names: dict[tuple[str, str | None], str]) -> Column:
@@ -46,37 +51,40 @@ def _key_word(names: dict[tuple[str, str | None], str]) -> Column:
 
 
 def list_pending_window(leads: DataFrame, rates: DataFrame, consent: DataFrame, windows: DataFrame,
-                        rules: Rules, module: str, returning: bool,
+                        rules: Rules, new: str | None, returning: str | None,
                         key_words: dict | None = None) -> DataFrame:
     """Pending applications received in each run date's window, with limit and SMS consent.
 
-    First and second touch differ only in ``windows``; new and returning in ``returning``.
+    ``new`` and ``returning`` name the two lists (null to leave one out); first and second
+    touch differ only in ``windows``.
     """
     base = allowed_place(eligible(leads.filter("application_status = 'pending'"), rules, False),
                          rules)
-    base = in_windows(_new_or_returning(base, returning), F.to_date("received_time"), windows,
+    base = in_windows(_named(base, new, returning), F.to_date("received_time"), windows,
                       "std_date", "end_date")
     base = _still_open(base, leads, F.to_date("received_time"))
     base = rate_card_join(base, rates, F.col("pay_frequency"), remap=rules.remap)
     base = add_sms_consent(base, consent)
-    return list_rows(base, module, "run_date", system_job(rules, F.col("run_date")), [
+    return list_rows(base, F.col("_module"), "run_date", system_job(rules, F.col("run_date")), [
         _key_word(key_words or {}).alias("key_word"), requested(), "approved_amount",
         max_limit(F.col("paycheck"), F.col("rpp"), F.col("hardcap")).alias("max_loan_limit"),
         "is_transactional_optin", "is_sms_marketing_optin"])
 
 
 def list_pending_today(leads: DataFrame, rates: DataFrame, run_dates: DataFrame, rules: Rules,
-                       module: str, returning: bool, before_hour: int = 15) -> DataFrame:
-    """Same-day pending applications received before the cut-off hour."""
+                       module: str, before_hour: int = 15) -> DataFrame:
+    """Same-day pending applications, new and returning, received before the cut-off hour.
+
+    Product variants of the rate card apply to returning customers only.
+    """
     base = eligible(leads.filter("application_status = 'pending'"), rules, False)
-    base = _new_or_returning(allowed_place(base, rules), returning)
+    base = _named(allowed_place(base, rules), module, module)
     base = base.filter(F.hour("received_time") < before_hour)
     base = (base.withColumn("run_date", F.to_date("received_time"))
             .join(run_dates, "run_date", "left_semi"))
     base = _still_open(base, leads, F.col("run_date"))
-    base = rate_card_join(base, rates, F.col("pay_frequency"),
-                          remap=rules.remap if returning else (),
-                          cap=7 if returning else 1_000_000)
+    base = rate_card_join(base, rates, F.col("pay_frequency"), remap=rules.remap,
+                          remap_where=F.col("loan_sequence") > 1)
     return list_rows(base, module, "run_date", system_job(rules, F.col("run_date")), [
         requested(), max_limit(F.col("paycheck"), F.col("rpp"), F.col("hardcap"))
         .alias("max_loan_limit")])

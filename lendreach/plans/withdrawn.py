@@ -11,7 +11,7 @@ from lendreach.context import RunContext
 from lendreach.functions.dates import within_days
 from lendreach.functions.flags import one
 from lendreach.functions.text import valid_mail_ending
-from lendreach.operators.calendar import weekday_rota
+from lendreach.operators.calendar import is_biweekly, weekday_rota
 from lendreach.operators.consent import add_phone, add_sms_consent
 from lendreach.operators.joins import exclude, in_windows
 from lendreach.operators.ranking import latest_per
@@ -71,15 +71,15 @@ def list_withdrawn_on_days(leads: DataFrame, run_dates: DataFrame, rules: Rules,
                      system_job(rules, F.col("run_date")), _extras(word))
 
 
-def list_withdrawn_aged(leads: DataFrame, allowed: DataFrame, ctx: RunContext, rules: Rules,
-                        days: int = 30, module: str = "WAB") -> DataFrame:
-    """Withdrawn at least ``days`` ago with a positive limit; empty unless the run date is
-    among the allowed dates."""
+def list_withdrawn_aged(leads: DataFrame, ctx: RunContext, rules: Rules, days: int = 30,
+                        module: str = "WAB") -> DataFrame:
+    """Withdrawn at least ``days`` ago with a positive limit; empty unless the run date is a
+    first or third Wednesday."""
     base = withdrawn_new(leads, rules).filter(
         within_days(F.col("withdrawn_time"), last=ctx.shifted(-days).run_date)
-        & (F.col("maxloanlimit") > 0))
+        & (F.col("maxloanlimit") > 0) & F.lit(is_biweekly(ctx.run_date)))
     base = exclude(base, live_customers(leads), ["lms_customer_id"])
-    base = base.withColumn("run_date", ctx.date()).join(allowed, "run_date", "left_semi")
+    base = base.withColumn("run_date", ctx.date())
     return list_rows(_last_application(base, "run_date"), module, "run_date",
                      system_job(rules, F.col("run_date")), _extras(F.lit(None).cast("string")))
 
