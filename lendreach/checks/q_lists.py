@@ -229,7 +229,7 @@ WED = dt.date(1999, 3, 3)
 
 
 @query("L12_list_withdrawn_aged", "leads", f"""WITH z AS (SELECT *, DATE '{WED}' AS run_date FROM leads WHERE CAST(withdrawn_time AS DATE) <= DATE '{WED}' - 30 AND maxloanlimit > 0
-  AND {WBASE} AND {PLACE} AND lms_customer_id NOT IN {LIVE}) {last_of('z', 'WAB', 'NULL')}""")
+  AND {WBASE} AND {PLACE} AND lms_customer_id NOT IN {LIVE}) {last_of('z', 'WAB', 'CAST(NULL AS VARCHAR)')}""")
 def _(v):
     ctx = RunContext(dt.datetime.combine(WED, dt.time(9)))
     return withdrawn.list_withdrawn_aged(v.leads, ctx, RULES)
@@ -255,7 +255,7 @@ WCTX = RunContext(dt.datetime(1999, 3, 1, 9))  # a Monday
     AND emailaddress NOT IN (SELECT emailaddress FROM own WHERE application_status = 'pending' OR origination_time IS NOT NULL)),
   c AS (SELECT *, DATE '1999-03-01' AS run_date, date_diff('day', CAST(withdrawn_time AS DATE), DATE '1999-03-01') AS ds FROM b WHERE rn = 1)
   SELECT DISTINCT {head('WA-PRJ')}, CAST(approved_amount AS DOUBLE) AS approved_amount, CAST(maximum_limit_by_state AS DOUBLE) AS max_loan_limit, withdrawn_reason, withdrawn_time, {USABLE} AS cell_phone, {OPTIN_COLS},
-  ds AS extra1, CASE WHEN ds <= 365 THEN 'Group1' ELSE 'Group2' END AS key_word FROM c LEFT JOIN caps ON cap_state = state
+  CAST(ds AS INTEGER) AS extra1, CASE WHEN ds <= 365 THEN 'Group1' ELSE 'Group2' END AS key_word FROM c LEFT JOIN caps ON cap_state = state
   LEFT JOIN (SELECT customer_id AS fc, homephone, cellphone FROM customer_flat) f ON fc = lms_customer_id LEFT JOIN optin ON customer_id = lms_customer_id
   WHERE ds > 30 AND regexp_matches(emailaddress, '(com|ca|net|fr|org|us|edu|info|biz|\\.co\\.uk|\\.cn)$') AND (0, CASE WHEN ds <= 365 THEN 'Group1' ELSE 'Group2' END, state) IN (SELECT w, g, s FROM {ROTA_SQL})""")
 def _(v):
@@ -268,7 +268,7 @@ def _(v):
 @query("L14_list_cross_brand", "leads days", f"""WITH {MONTHS}, z AS (SELECT * FROM leads JOIN runs ON CAST(withdrawn_time AS DATE) BETWEEN run_date - 90 AND run_date - 1
   WHERE {WBASE} AND NOT coalesce(state = 'NATION_7' AND product = 'BUILDING', false) AND lms_code <> 'LOC' AND state IN ('NATION_9', 'NATION_11', 'NATION_7') AND maxloanlimit > 0
   AND lms_customer_id NOT IN (SELECT lms_customer_id FROM leads WHERE lms_code <> 'LOC' AND (application_status = 'pending' OR origination_time IS NOT NULL))
-  AND emailaddress NOT IN (SELECT emailaddress FROM leads WHERE lms_code = 'LOC')) {last_of('z', 'WA_X', 'NULL')}""")
+  AND emailaddress NOT IN (SELECT emailaddress FROM leads WHERE lms_code = 'LOC')) {last_of('z', 'WA_X', 'CAST(NULL AS VARCHAR)')}""")
 def _(v):
     mine, other = v.leads.filter("lms_code <> 'LOC'"), v.leads.filter("lms_code = 'LOC'")
     return withdrawn.list_cross_brand(mine, other, month_runs(v), RULES,
