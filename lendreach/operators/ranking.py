@@ -57,10 +57,15 @@ def sequence_number(df: DataFrame, keys: Sequence[str], ts: str, ties: Sequence[
     before = Window.partitionBy(*keys).orderBy("_m").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, "_m", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
     inside = Window.partitionBy(*keys, "_m").orderBy(ts, *ties)
-    return (rows.repartition(*keys, "_m").withColumn("_i", F.row_number().over(inside))
-            .join(offsets, [*keys, "_m"])
+    numbered = rows.repartition(*keys, "_m").withColumn("_i", F.row_number().over(inside))
+    # null-safe, so that rows without a key or time are numbered too
+    right = offsets.select(*[F.col(k).alias(f"_r_{k}") for k in (*keys, "_m")], "_o")
+    same = F.lit(True)
+    for k in (*keys, "_m"):
+        same = same & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return (numbered.join(right, same)
             .withColumn(out, (F.col("_i") + F.col("_o")).cast("int"))
-            .drop("_m", "_i", "_o"))
+            .drop("_m", "_i", "_o", *[f"_r_{k}" for k in (*keys, "_m")]))
 
 
 def bucketed_last(df: DataFrame, keys: Sequence[str], ts: str, values: Sequence[str],

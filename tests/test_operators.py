@@ -54,7 +54,8 @@ def test_join_sparse_matches_a_plain_left_join(spark):
 
 
 def test_sequence_number_on_a_hot_key(spark):
-    df = spark.createDataFrame(hot(), "k int, id int, t timestamp_ntz")
+    odd = [(None, 9001, T0), (None, 9002, T0), (1, 9003, None)]
+    df = spark.createDataFrame(hot() + odd, "k int, id int, t timestamp_ntz")
     w = Window.partitionBy("k").orderBy("t", "id")
     want = rows(df.withColumn("n", F.row_number().over(w)), "id", "n")
     assert rows(ranking.sequence_number(df, ["k"], "t", ["id"], "n"), "id", "n") == want
