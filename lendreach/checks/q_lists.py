@@ -6,10 +6,10 @@ import re
 
 from pyspark.sql import functions as F
 
-from lendreach.checks.common import (CONSENT, CONSENT_VIEWS, CTX, D, DOM, EVENT_CTX, EXT, MAX_LIMIT,
-                                     MONTHS, NAMED, NEXT_LIMIT, OK, OK0, OK01, OK1, OPTIN_COLS,
-                                     PLACE, REACT, REASONS, RULES, RUNS, TS, USABLE, VARIANT, head,
-                                     job, month_runs, nc, optin, runs)
+from lendreach.checks.common import (CONSENT, CONSENT_VIEWS, CTX, D, EVENT_CTX, MAX_LIMIT, MONTHS,
+                                     NAMED, NEXT_LIMIT, OK, OK0, OK01, OK1, OPTIN_COLS, PLACE, REACT,
+                                     REASONS, RULES, RUNS, TS, USABLE, VARIANT, head, month_runs, nc,
+                                     optin, runs)
 from lendreach.checks.q_rows import ROTA, ROTA_SQL
 from lendreach.checks.registry import dbl, query
 from lendreach.checks.views import PLACEHOLDERS
@@ -18,7 +18,6 @@ from lendreach.operators import calendar as cal_ops
 from lendreach.operators.limits import limit_by_state
 from lendreach.plans import abandoned as ab
 from lendreach.plans import credit_line, due, paid_off, pending, service, withdrawn
-from lendreach.plans.common import Rules
 
 # ---- due reminders ---------------------------------------------------------------------------
 
