@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendreach.llm.common import fold, table
 from lendreach.llm.langid import identify, learn
 from lendreach.llm.mixing import mix_sources
+from lendreach.llm.packing import pack_documents
 from lendreach.llm.secret_scan import scan_secrets
 from lendreach.llm.sharding import grow, layout, shard_rows
 from lendreach.llm.toxicity import toxic_scores
+from lendreach.llm.warc import round_trip
 
 SHARDS = 16
 TOXIC_AT = 0.7
+VOCABULARY = "byte_bpe_50k.json"
 
 
 def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,12 +32,23 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_novel")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                      "offset")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", (fold(F.col("doc_id"), 3) == 1).alias("held_out"))
     out = toxic_scores(docs, table(spark, sf_dir, "labels"), fold(F.col("doc_id"), 3) != 1, ("doc_id", "held_out"))
     return out.withColumn("predicted", (F.col("score") >= TOXIC_AT).cast("int"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = round_trip(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     tree = layout(SHARDS)
     out = shard_rows(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", tree,
@@ -47,5 +62,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", "phase", "block", "in_block", "release", "deadline", "slot")
 
 
-QUERIES = {f.__name__: f for f in (op2_langid, op3_secrets, op5_toxicity, op8_sharding, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op2_langid, op3_secrets, op4_packing, op5_toxicity, op6_warc, op8_sharding, op10_mixing)}
 ORACLES: dict[str, str] = {}
