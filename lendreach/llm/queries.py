@@ -6,6 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lendreach.llm.ann import near_vectors
+from lendreach.llm.balltree import exact_top
 from lendreach.llm.common import fold, table
 from lendreach.llm.langid import identify, learn
 from lendreach.llm.mixing import mix_sources
@@ -20,6 +22,10 @@ TOXIC_AT = 0.7
 VOCABULARY = "byte_bpe_50k.json"
 
 
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held = fold(F.col("doc_id"), 4) == 2
@@ -57,10 +63,15 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "region", "rack")
 
 
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source"), "source", "doc_id")
     return out.select("doc_id", "source", "phase", "block", "in_block", "release", "deadline", "slot")
 
 
-QUERIES = {f.__name__: f for f in (op2_langid, op3_secrets, op4_packing, op5_toxicity, op6_warc, op8_sharding, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_ann, op2_langid, op3_secrets, op4_packing, op5_toxicity, op6_warc,
+                                   op8_sharding, op9_topk, op10_mixing)}
 ORACLES: dict[str, str] = {}
