@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lendreach.llm.ann import near_vectors
 from lendreach.llm.balltree import exact_top
 from lendreach.llm.common import fold, table
+from lendreach.llm.jaccard import Rule, link_documents
 from lendreach.llm.langid import identify, learn
 from lendreach.llm.mixing import mix_sources
 from lendreach.llm.packing import pack_documents
@@ -55,6 +56,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_documents(table(spark, sf_dir, "documents"), Rule(words=3, num=90, den=100))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     tree = layout(SHARDS)
     out = shard_rows(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", tree,
@@ -73,5 +78,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_ann, op2_langid, op3_secrets, op4_packing, op5_toxicity, op6_warc,
+                                   op7_jaccard,
                                    op8_sharding, op9_topk, op10_mixing)}
 ORACLES: dict[str, str] = {}
