@@ -37,6 +37,13 @@ def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def carried(docs: DataFrame, keep: tuple[str, ...], text: str) -> tuple[DataFrame, str]:
+    """Columns ``keep`` and the text, sent once; the name under which the text goes."""
+    if text in keep:
+        return docs.select(*keep), text
+    return docs.select(*keep, F.col(text).alias("__text")), "__text"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lendreach.llm.common import map_arrow
+from lendreach.llm.common import carried, map_arrow
 
 SAMPLE_DOCS = 128       # documents of each language that are learned from
 SAMPLE_CHARS = 256      # code points taken from each of them
@@ -167,14 +167,14 @@ def identify(docs: DataFrame, sample: Sample, keep: tuple[str, ...] = ("doc_id",
     all if nothing could be learned. Repeated rows are scored alike.
     """
     sent = docs.sparkSession.sparkContext.broadcast(sample)     # at most SAMPLE_DOCS * SAMPLE_CHARS a language
-    kept = docs.select(*keep, F.col("text").alias("__text"))
+    kept, body = carried(docs, keep, "text")
 
     def run(batches):
         p = build(sent.value)
         for whole in batches:
             for lo in range(0, len(whole), 1000):
                 b = whole.slice(lo, 1000)
-                count, size, lettered = phrases(p, [t or "" for t in b.column("__text").to_pylist()])
+                count, size, lettered = phrases(p, [t or "" for t in b.column(body).to_pylist()])
                 langs = [None] * len(b)
                 score, best = np.zeros(len(b)), np.zeros(len(b), np.int64)
                 if len(p.langs):
@@ -186,11 +186,11 @@ def identify(docs: DataFrame, sample: Sample, keep: tuple[str, ...] = ("doc_id",
                     langs = [p.langs[i] for i in at]
                 ok = lettered & bool(len(p.langs))
                 yield pa.RecordBatch.from_arrays(
-                    [*[b.column(i) for i in range(b.num_columns - 1)],
+                    [*[b.column(c) for c in keep],
                      pa.array([x if k else "und" for x, k in zip(langs, ok, strict=True)], pa.string()),
                      pa.array(np.where(ok, score, 0.0)), pa.array(np.where(ok, best, 0)), pa.array(size)],
-                    [*b.schema.names[:-1], "lang_pred", "score", "phrases", "symbols"])
+                    [*keep, "lang_pred", "score", "phrases", "symbols"])
 
-    schema = (kept.drop("__text").schema.add("lang_pred", "string").add("score", "double")
+    schema = (kept.select(*keep).schema.add("lang_pred", "string").add("score", "double")
               .add("phrases", "long").add("symbols", "long"))
     return map_arrow(kept, run, schema)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lendreach.llm.common import map_arrow
+from lendreach.llm.common import carried, map_arrow
 
 KINDS = ("assign", "access", "hex", "novel")
 # fixed patterns of the contract
@@ -90,21 +90,22 @@ def _spelled(spans) -> str:
     return ",".join(f"{k}:{a}:{z}" for a, z, k in spans)
 
 
-def scan_secrets(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), redact: str | None = None) -> DataFrame:
+def scan_secrets(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), redact: str | None = None,
+                 text: str = "text") -> DataFrame:
     """Columns ``keep`` with ``found`` (start, end, kind) of every whole text, their counts and digest.
 
     Adds n_assign, n_access, n_hex, n_novel, base_sha256 and spans; with ``redact`` also ``clean_text``, the
     text with every run of overlapping spans replaced by that string (null stays null). One row in, one row out.
     """
-    kept = docs.select(*keep, F.col("text").alias("__text"))
+    kept, body = carried(docs, keep, text)
 
     def run(batches):
         novelty = Novelty()
         for b in batches:
-            texts = b.column("__text").to_pylist()
+            texts = b.column(body).to_pylist()
             found = [find_secrets(t, novelty) for t in texts]
             base = [[s for s in f if s[2] != "novel"] for f in found]
-            cols = [*[b.column(i) for i in range(b.num_columns - 1)],
+            cols = [*[b.column(c) for c in keep],
                     pa.array([[{"start": a, "end": z, "kind": k} for a, z, k in f] for f in found], SPANS)]
             cols += [pa.array([sum(s[2] == k for s in f) for f in found], pa.int64()) for k in KINDS]
             cols += [pa.array([hashlib.sha256(_spelled(f).encode()).hexdigest() for f in base], pa.string()),
@@ -113,7 +114,7 @@ def scan_secrets(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), redact: s
                 cols.append(pa.array([redacted(t, f, redact) for t, f in zip(texts, found, strict=True)], pa.string()))
             yield pa.RecordBatch.from_arrays(cols, names)
 
-    schema = kept.drop("__text").schema.add("found", T.ArrayType(
+    schema = kept.select(*keep).schema.add("found", T.ArrayType(
         T.StructType().add("start", "long").add("end", "long").add("kind", "string")))
     for k in KINDS:
         schema = schema.add(f"n_{k}", "long")

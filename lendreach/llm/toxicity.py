@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendreach.llm.common import map_arrow
+from lendreach.llm.common import carried, map_arrow
 from lendreach.llm.utf8 import BREAKS, word_blocks
 
 MAX_PER_CLASS = 6_000       # labelled rows of each class that training sees
@@ -130,10 +130,11 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column) -> Machine:
     return fit(found, np.asarray(rows.column("toxic").to_pylist(), dtype=np.float64))
 
 
-def score(docs: DataFrame, machine: Machine, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def score(docs: DataFrame, machine: Machine, keep: tuple[str, ...] = ("doc_id",),
+          text: str = "text") -> DataFrame:
     """Columns ``keep`` with ``score`` (0 to 1) of the whole text; a null or empty text scores the bias alone."""
     sent = docs.sparkSession.sparkContext.broadcast(machine)    # at most MAX_TERMS rows
-    kept = docs.select(*keep, F.col("text").alias("__text"))
+    kept, body = carried(docs, keep, text)
 
     def run(batches):
         m, mask = sent.value, np.uint64((1 << 20) - 1)
@@ -141,7 +142,7 @@ def score(docs: DataFrame, machine: Machine, keep: tuple[str, ...] = ("doc_id",)
         maybe[m.terms & mask] = True
         for b in batches:
             out = np.zeros(len(b))
-            for row, h, offs in word_blocks(b.column("__text"), BREAKS, PREFIXES):
+            for row, h, offs in word_blocks(b.column(body), BREAKS, PREFIXES):
                 n, pairs = len(offs) - 1, []
                 doc = np.repeat(np.arange(n), np.diff(offs))
                 for kind in h if len(m.terms) else ():
@@ -153,10 +154,9 @@ def score(docs: DataFrame, machine: Machine, keep: tuple[str, ...] = ("doc_id",)
                                     max(1, len(m.terms)))
                 raw = _raw(m, at, np.searchsorted(doc, np.arange(n + 1)))
                 out[row:row + n] = 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
-            cols = [b.column(i) for i in range(b.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(out)], [*b.schema.names[:-1], "score"])
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(out)], [*keep, "score"])
 
-    schema = kept.drop("__text").schema.add("score", "double")
+    schema = kept.select(*keep).schema.add("score", "double")
     return map_arrow(kept, run, schema)
 
 
