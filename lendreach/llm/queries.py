@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lendreach.llm.ann import near_vectors
 from lendreach.llm.balltree import exact_top
+from lendreach.llm import sql
 from lendreach.llm.common import fold, table
 from lendreach.llm.jaccard import Rule, link_documents
 from lendreach.llm.langid import identify, learn
@@ -80,4 +81,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_ann, op2_langid, op3_secrets, op4_packing, op5_toxicity, op6_warc,
                                    op7_jaccard,
                                    op8_sharding, op9_topk, op10_mixing)}
-ORACLES: dict[str, str] = {}
+ORACLES = {"op6_warc": sql.warc(), "op7_jaccard": sql.jaccard(3, 90, 100),
+           "op8_sharding": sql.sharding(layout(SHARDS), grow(layout(SHARDS), SHARDS)),
+           "op9_topk": sql.top_inner(100, 10)}
