@@ -57,7 +57,7 @@ RUNS = "runs AS (SELECT ori_date AS run_date FROM cal WHERE weekend + holiday =
 NAMED = ("runs AS (SELECT ori_date AS run_date FROM cal LEFT JOIN (SELECT holiday AS t FROM holidays "
          "WHERE starts_with(description, 'Thanksgiving')) h ON ori_date = t WHERE weekend = 0 AND t IS NULL "
          "AND strftime(ori_date, '%m%d') NOT IN ('0101', '1225'))")
-MONTHS = "runs AS (SELECT ori_date AS run_date FROM days WHERE day(ori_date) = 1)"
+EVERY = "runs AS (SELECT ori_date AS run_date FROM days WHERE isodow(ori_date) <= 5)"
 
 CONSENT = """consent AS (SELECT customer_id,
   max(first_consent_date_time) AS first_consent_date_time,
@@ -102,8 +102,8 @@ def runs(v: Views, policy: str = "weekday"):
     return cal_ops.allowed_dates(v.cal, v.holidays, d, policy)
 
 
-def month_runs(v: Views):
-    return v.days.filter("dayofmonth(ori_date) = 1").select(F.col("ori_date").alias("run_date"))
+def weekday_runs(v: Views):
+    return v.days.filter(F.weekday("ori_date") < 5).select(F.col("ori_date").alias("run_date"))
 
 
 def optin(v: Views):

@@ -6,9 +6,9 @@ import re
 
 from pyspark.sql import functions as F
 
-from lendreach.checks.common import (CONSENT, CONSENT_VIEWS, CTX, D, EVENT_CTX, MAX_LIMIT, MONTHS,
+from lendreach.checks.common import (CONSENT, CONSENT_VIEWS, CTX, D, EVENT_CTX, MAX_LIMIT, EVERY,
                                      NAMED, NEXT_LIMIT, OK, OK0, OK01, OK1, OPTIN_COLS, PLACE, REACT,
-                                     REASONS, RULES, RUNS, TS, USABLE, VARIANT, head, month_runs, nc,
+                                     REASONS, RULES, RUNS, TS, USABLE, VARIANT, head, weekday_runs, nc,
                                      optin, runs)
 from lendreach.checks.q_rows import ROTA, ROTA_SQL
 from lendreach.checks.registry import dbl, query
@@ -209,12 +209,12 @@ def last_of(src, module, key):
   FROM {src}) q WHERE rk = 1"""
 
 
-@query("L10_list_withdrawn_range", "leads days", f"""WITH {MONTHS}, z AS (SELECT * FROM leads JOIN runs ON isodow(run_date) <= 5 AND CAST(withdrawn_time AS DATE) BETWEEN run_date - 90 AND run_date - 1
+@query("L10_list_withdrawn_range", "leads days", f"""WITH {EVERY}, z AS (SELECT * FROM leads JOIN runs ON isodow(run_date) <= 5 AND CAST(withdrawn_time AS DATE) BETWEEN run_date - 90 AND run_date - 1
   WHERE {WBASE} AND {PLACE} AND lms_customer_id NOT IN {LIVE}) {last_of('z', 'WAD', "CASE WHEN lms_code = 'INST' AND state NOT IN ('NATION_4') THEN 'Installment Loan application' ELSE 'application' END")}""")
 def _(v):
     word = F.when((F.col("lms_code") == "INST") & ~F.col("state").isin("NATION_4"),
                   "Installment Loan application").otherwise("application")
-    return withdrawn.list_withdrawn_range(v.leads, month_runs(v), RULES, word)
+    return withdrawn.list_withdrawn_range(v.leads, weekday_runs(v), RULES, word)
 
 
 @query("L11_list_withdrawn_on_days", "leads days", f"""WITH z AS (SELECT leads.*, ori_date AS run_date, n FROM leads, (SELECT unnest([2, 10, 25]) AS n) k, days
@@ -264,13 +264,13 @@ def _(v):
                                   cal_ops.rota(ROTA, v.spark), WCTX, RULES, WIN_STATES)
 
 
-@query("L14_list_cross_brand", "leads days", f"""WITH {MONTHS}, z AS (SELECT * FROM leads JOIN runs ON CAST(withdrawn_time AS DATE) BETWEEN run_date - 90 AND run_date - 1
+@query("L14_list_cross_brand", "leads days", f"""WITH {EVERY}, z AS (SELECT * FROM leads JOIN runs ON CAST(withdrawn_time AS DATE) BETWEEN run_date - 90 AND run_date - 1
   WHERE {WBASE} AND NOT coalesce(state = 'NATION_7' AND product = 'BUILDING', false) AND lms_code <> 'LOC' AND state IN ('NATION_9', 'NATION_11', 'NATION_7') AND maxloanlimit > 0
   AND lms_customer_id NOT IN (SELECT lms_customer_id FROM leads WHERE lms_code <> 'LOC' AND (application_status = 'pending' OR origination_time IS NOT NULL))
   AND emailaddress NOT IN (SELECT emailaddress FROM leads WHERE lms_code = 'LOC')) {last_of('z', 'WA_X', 'CAST(NULL AS VARCHAR)')}""")
 def _(v):
     mine, other = v.leads.filter("lms_code <> 'LOC'"), v.leads.filter("lms_code = 'LOC'")
-    return withdrawn.list_cross_brand(mine, other, month_runs(v), RULES,
+    return withdrawn.list_cross_brand(mine, other, weekday_runs(v), RULES,
                                       ("NATION_9", "NATION_11", "NATION_7"))
 
 
@@ -313,12 +313,12 @@ def react(base, bad, extra=""):
 BAD_POL = "'returned item pending paid off', 'charged off pending paid off', 'returned item', 'charged off', 'charged off paid off'"
 
 
-@query("L16_list_paid_off", "leads loans transactions cal", f"""WITH {MONTHS.replace('FROM days', 'FROM cal')}, x AS (SELECT a.*, paid_off_date, CASE WHEN isodow(paid_off_date) > 5 THEN pre_target_date ELSE paid_off_date END AS paid_day
+@query("L16_list_paid_off", "leads loans transactions cal", f"""WITH {EVERY.replace('FROM days', 'FROM cal')}, x AS (SELECT a.*, paid_off_date, CASE WHEN isodow(paid_off_date) > 5 THEN pre_target_date ELSE paid_off_date END AS paid_day
     FROM leads a JOIN loans b ON a.lms_application_id = b.loan_header_id LEFT JOIN cal ON ori_date = paid_off_date WHERE lms_code = 'INST' AND b.loan_status = 'paid off' AND {OK01} AND {PLACE} AND product NOT IN ('HOUSEHOLD')
     AND (SELECT sum(-principal_amount) FROM transactions t WHERE t.base_loan_id = b.base_loan_id) = 0)
   SELECT DISTINCT {head('POL_NEW', jobs="'' AS job_id")}, paid_off_date AS last_repayment_date FROM x JOIN runs ON paid_day BETWEEN run_date - 91 AND run_date WHERE {react('x.last_paymentdate', BAD_POL)}""")
 def _(v):
-    return paid_off.list_paid_off(v.leads, v.loans, v.transactions, v.cal, month_runs(v), RULES, "INST",
+    return paid_off.list_paid_off(v.leads, v.loans, v.transactions, v.cal, weekday_runs(v), RULES, "INST",
                                   skip_products=("HOUSEHOLD",))
 
 

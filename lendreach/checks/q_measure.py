@@ -250,7 +250,7 @@ def _(v):
 
 
 @query("N16_sms_response", "history leads0 customer_flat calls", f"""WITH s AS (SELECT lms_code, lms_application_id, list_generation_time AS t, {USABLE} AS phone FROM history LEFT JOIN customer_flat ON customer_id = lms_customer_id WHERE list_module IN ('PA', 'WAD') AND is_transactional_optin = 1),
-  c AS (SELECT s.*, (SELECT min(call_start_time) FROM calls WHERE regexp_replace(called_ani, '[^0-9]', '', 'g') = phone AND CAST(call_start_time AS DATE) BETWEEN CAST(t AS DATE) AND CAST(t AS DATE) + 1) AS first_called_time FROM s)
+  c AS (SELECT s.*, (SELECT min(call_start_time) FROM calls WHERE regexp_replace(called_ani, '[^0-9]', '', 'g') = phone AND CAST(call_start_time AS DATE) BETWEEN CAST(t AS DATE) AND CAST(t AS DATE) + 1 AND call_start_time >= t) AS first_called_time FROM s)
   SELECT c.lms_application_id, phone, t AS list_generation_time, first_called_time, CASE WHEN first_called_time BETWEEN t AND t + INTERVAL 24 HOUR THEN 1 ELSE 0 END AS is_called_in,
   CASE WHEN origination_time BETWEEN t AND t + INTERVAL 24 HOUR THEN 1 ELSE 0 END AS is_originated FROM c LEFT JOIN leads0 l ON l.lms_code = c.lms_code AND l.lms_application_id = c.lms_application_id""")
 def _(v):

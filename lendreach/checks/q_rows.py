@@ -278,7 +278,7 @@ def _(v):
   {MAX_LIMIT} AS max_limit FROM leads LEFT JOIN rates r ON state = state_code AND product = product_code
   AND leads.loan_sequence = r.loan_sequence AND leads.pay_frequency = r.pay_frequency""")
 def _(v):
-    df = rate_card_join(v.leads, v.rates, F.col("pay_frequency"), cap=1_000_000)
+    df = rate_card_join(v.leads, v.rates, F.col("pay_frequency"), cap=None)
     return df.select(ID, F.coalesce("requested_amount", "approved_amount").alias("requested"),
                      money.max_limit(F.col("paycheck"), F.col("rpp"), F.col("hardcap"))
                      .alias("max_limit"))

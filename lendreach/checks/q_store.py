@@ -37,14 +37,14 @@ def _(v):
     return _back(v, path)
 
 
-@query("S03_replace_run", "history", f"SELECT {LIST_SQL} FROM history WHERE list_module <> 'PA' UNION ALL SELECT {LIST_SQL} FROM history WHERE list_module = 'PA' AND state <> 'NATION_1'")
+@query("S03_replace_run", "history", f"SELECT {LIST_SQL} FROM history WHERE list_module NOT IN ('PA', 'WAD') OR list_module = 'PA' AND state <> 'NATION_1'")
 def _(v):
     path = fresh_path(v.spark, "replace")
     df = writers.gathered(_lists(v), ["list_module"])
     writers.append_history(df, path, ["list_module"])
     again = df.filter("list_module = 'PA' and state <> 'NATION_1'")
-    writers.replace_run(again, path, ["list_module"])
-    writers.replace_run(again, path, ["list_module"])
+    for _ in range(2):      # WAD has no row any more
+        writers.replace_run(again, path, ["list_module"], runs=[("PA",), ("WAD",)])
     return _back(v, path)
 
 

@@ -8,8 +8,20 @@ from lendreach.session import fresh_path
 from lendreach.streaming import jobs
 
 
-def _events(v):
-    return jobs.read_events(v.spark, v.sf_dir, v.events.schema, "events.parquet")
+def _parts(v):
+    """The events in two parts by time, as they would arrive around a restart."""
+    middle = v.events.agg(F.expr("percentile_approx(ts, 0.5)")).first()[0]
+    return [v.events.filter(F.col("ts") < F.lit(middle)), v.events.filter(F.col("ts") >= F.lit(middle))]
+
+
+def _restarted(v, build, name, mode="append", write=None):
+    """Run a job, let more events arrive, and run it again on the same state; the output path."""
+    src, state, out = (fresh_path(v.spark, f"{name}-{x}") for x in ("src", "state", "out"))
+    for part in _parts(v):
+        part.write.mode("append").parquet(src)
+        events = jobs.read_events(v.spark, src, v.events.schema)
+        jobs.run_available(build(events), state, out, mode, write(out) if write else None)
+    return out
 
 
 @query("R01_abandoned_stream", "", """WITH g AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w > INTERVAL 45 MINUTE THEN 1 ELSE 0 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
@@ -17,16 +29,14 @@ def _events(v):
   SELECT user_id, max(ts) AS dropoff_time, count(*) AS record_cnt FROM s GROUP BY user_id, sid
   HAVING max(CASE WHEN event_type IN ('error', 'purchase') THEN 1 ELSE 0 END) = 0 AND max(ts) + INTERVAL 45 MINUTE <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""")
 def _(v):
-    df = jobs.abandoned_stream(_events(v))
-    return v.spark.read.schema(df.schema).parquet(jobs.run_available(df, "abandoned"))
+    return v.spark.read.parquet(_restarted(v, jobs.abandoned_stream, "abandoned"))
 
 
 def _windows(v, width, slide, name):
-    df = jobs.funnel_stream(_events(v), width, slide)
-    path = fresh_path(v.spark, name)
-    jobs.run_available(df, name, "update", jobs.foreach_batch_writer(path, []), path)
+    path = _restarted(v, lambda e: jobs.funnel_stream(e, width, slide), name, "update",
+                      lambda out: jobs.foreach_batch_writer(out, [], name))
     out = v.spark.read.parquet(path)
-    return pick_one(out, ["window_start"], [F.col("batch_id").desc()]).drop("batch_id")
+    return pick_one(out, ["window_start"], [F.col("batch_id").desc()]).drop("job", "batch_id")
 
 
 COUNTS = ", ".join(f"count(*) FILTER (event_type = '{p}') AS n_{p}" for p in ("signup", "view", "click", "purchase", "error"))
@@ -42,22 +52,25 @@ def _(v):
 
 @query("R03_dedupe_stream", "", "SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS day FROM events")
 def _(v):
-    rows = _events(v).select("user_id", "event_type", F.to_date("ts").alias("day"), "ts")
-    df = jobs.dedupe_stream(rows, ["user_id", "event_type", "day"], "ts", "2 days")
-    path = jobs.run_available(df, "deduped")
-    return v.spark.read.schema(df.schema).parquet(path).select("user_id", "event_type", "day")
+    def build(events):
+        rows = events.select("user_id", "event_type", F.to_date("ts").alias("day"), "ts")
+        return jobs.dedupe_stream(rows, ["user_id", "event_type", "day"], "ts", "2 days")
+    return v.spark.read.parquet(_restarted(v, build, "deduped")).select("user_id", "event_type", "day")
 
 
 @query("R04_foreach_batch_writer", "", "SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS business_date FROM events WHERE event_type <> 'error'")
 def _(v):
-    rows = _events(v).filter("event_type <> 'error'").select(
-        "event_id", "user_id", "event_type", F.to_date("ts").alias("business_date"))
-    path = fresh_path(v.spark, "stream-lists")
-    write = jobs.foreach_batch_writer(path, ["event_type"])
+    def build(events):
+        return events.filter("event_type <> 'error'").select(
+            "event_id", "user_id", "event_type", F.to_date("ts").alias("business_date"))
 
-    def twice(batch, batch_id):
+    def twice(out):
         """A batch that is delivered again must not change the table."""
-        write(batch, batch_id)
-        write(batch, batch_id)
-    jobs.run_available(rows, "stream-lists", "append", twice, path)
-    return v.spark.read.parquet(path).select("event_id", "user_id", "event_type", "business_date")
+        write = jobs.foreach_batch_writer(out, ["event_type"], "lists")
+
+        def run(batch, batch_id):
+            write(batch, batch_id)
+            write(batch, batch_id)
+        return run
+    out = v.spark.read.parquet(_restarted(v, build, "stream-lists", write=twice))
+    return out.select("event_id", "user_id", "event_type", "business_date")

@@ -9,12 +9,11 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 # Holidays on which nothing runs.
 NO_RUN_HOLIDAYS = ("Thanksgiving Day", "Christmas", "New Year's Day")
-# Longest stretch of closed days looked across for a business day.
-CLOSED_RUN = 14
 
 
 def days(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
@@ -24,22 +23,19 @@ def days(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
 
 def build_calendar(all_days: DataFrame, holidays: DataFrame) -> DataFrame:
     """Weekend and holiday marks, the business day a date is worked on, and the nearest
-    business day before and after it."""
+    business day before and after it, however long the closure. Where the calendar ends before an open
+    day is found, the day itself stands."""
     cal = (all_days.join(holidays.select(F.col("holiday").alias("_h")),
                          F.col("ori_date") == F.col("_h"), "left")
            .select("ori_date", F.when(F.weekday("ori_date") >= 5, 1).otherwise(0).alias("weekend"),
                    F.when(F.col("_h").isNotNull(), 1).otherwise(0).alias("holiday")))
-    opens = cal.filter("weekend = 0 and holiday = 0").select(F.col("ori_date").alias("_day"))
-
-    def nearest(lo: int, hi: int, pick, out: str) -> DataFrame:
-        near = cal.select("ori_date", F.explode(F.sequence(
-            F.date_add("ori_date", lo), F.date_add("ori_date", hi))).alias("_day"))
-        return near.join(opens, "_day").groupBy("ori_date").agg(pick("_day").alias(out))
-    pre = nearest(-CLOSED_RUN, 0, F.max, "_pre")
-    post = nearest(0, CLOSED_RUN, F.min, "_post")
+    # one row a day, however large the data: a few thousand rows in one ordered window
+    opened = F.when((F.col("weekend") == 0) & (F.col("holiday") == 0), F.col("ori_date"))
+    upto = W.orderBy("ori_date").rowsBetween(W.unboundedPreceding, 0)
+    since = W.orderBy("ori_date").rowsBetween(0, W.unboundedFollowing)
+    cal = cal.withColumns({"_pre": F.max(opened).over(upto), "_post": F.min(opened).over(since)})
     before = F.coalesce("_pre", "ori_date")
-    return (cal.join(pre, "ori_date", "left").join(post, "ori_date", "left")
-            .select("ori_date", "weekend", "holiday", before.alias("operation_date"),
+    return (cal.select("ori_date", "weekend", "holiday", before.alias("operation_date"),
                     before.alias("pre_target_date"),
                     F.coalesce("_post", "ori_date").alias("post_target_date")))
 

@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lendreach.functions.dates import within_days
 from lendreach.operators.ranking import bucketed_last, pick_one
 
 SALTS = 16
@@ -100,12 +101,25 @@ def _days_in(start: Column, end: Column) -> Column:
 def in_windows(df: DataFrame, day: Column, windows: DataFrame, start: str, end: str) -> DataFrame:
     """Rows whose day lies in a window, once per window (back-fills pass many windows).
 
-    Windows are opened into days first: a plain equality join, no range comparison.
+    Windows are opened into days first: a plain equality join, no range comparison. A window that
+    ends before it starts, or has no start or end, holds no day.
     """
-    days = windows.withColumn("_day", _days_in(F.col(start), F.col(end)))
+    days = windows.filter(F.col(start) <= F.col(end)).withColumn("_day", _days_in(F.col(start), F.col(end)))
     return df.withColumn("_day", day).join(days, "_day").drop("_day")
 
 
+def bounded(df: DataFrame, column: str, rows: DataFrame, start: str, end: str) -> DataFrame:
+    """Rows whose bare time column lies between the first ``start`` and the last ``end`` day of ``rows``.
+
+    ``rows`` is a table of run dates or windows. Its two extremes become literals, so that the limit
+    reaches the scan; the exact match is left to the join that follows.
+    """
+    lo, hi = rows.agg(F.min(start), F.max(end)).first()
+    if lo is None or hi is None:
+        return df.filter(F.lit(False))
+    return df.filter(within_days(F.col(column), lo, hi))
+
+
 def interval_join(a: DataFrame, events: DataFrame, key: str, a_ts: str, e_ts: str,
                   lo_minutes: int, hi_minutes: int) -> DataFrame:
     """Events of the same key within [a_ts + lo, a_ts + hi].
@@ -132,25 +146,26 @@ def pattern_range_join(a: DataFrame, dim: DataFrame, code: str, pattern: str, da
                        key_len: int = 3) -> DataFrame:
     """Rows whose code is LIKE a pattern and whose day lies in the padded window.
 
-    Keys: the first ``key_len`` letters and the month. Patterns that start with fewer plain
-    letters (a leading wildcard, say) meet every code of the month; that side is salted.
+    Keys: the first ``key_len`` letters and the month, salted, as many codes share few beginnings:
+    each pattern goes to every salt, each code to one. Patterns that start with fewer plain letters
+    (a leading wildcard, say) meet every code of the month. A mapping whose padded window ends before
+    it starts matches nothing.
     """
     plain = F.regexp_extract(F.lower(F.trim(F.col(pattern))), r"^[^%_]*", 0)
     narrow = F.length(plain) >= key_len
     d = (dim.withColumn("_from", F.date_sub(F.col(start), pad_before))
          .withColumn("_to", F.date_add(F.col(end), pad_after))
+         .filter("_from <= _to")
          .withColumn("_pat", F.lower(F.trim(F.col(pattern))))
          .withColumn("_key", F.when(narrow, F.substring(plain, 1, key_len)).otherwise(""))
          .withColumn("_m", F.explode(F.sequence(F.trunc("_from", "month"), F.trunc("_to", "month"),
                                                 F.expr("interval 1 month"))))
-         .withColumn("_salt", F.explode(
-             F.when(narrow, F.array(F.lit(-1)))
-             .otherwise(F.sequence(F.lit(0), F.lit(SALTS - 1))))))
+         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
     text = F.lower(F.col(code))
     salt = F.pmod(F.xxhash64(code, day), F.lit(SALTS)).cast("int")
     left = (a.withColumn("_day", day).withColumn("_m", F.trunc("_day", "month"))
             .withColumn("_slot", F.explode(F.array(
-                F.struct(F.substring(text, 1, key_len).alias("_key"), F.lit(-1).alias("_salt")),
+                F.struct(F.substring(text, 1, key_len).alias("_key"), salt.alias("_salt")),
                 F.struct(F.lit("").alias("_key"), salt.alias("_salt")))))
             .select("*", "_slot._key", "_slot._salt").drop("_slot"))
     hit = left.join(d, ["_key", "_m", "_salt"]).filter(
@@ -189,24 +204,33 @@ def asof_previous(df: DataFrame, keys: Sequence[str], ts: str,
 def join_sparse(df: DataFrame, right: DataFrame, key: str, row: str) -> DataFrame:
     """Left join on a key that is null in many rows.
 
-    Null keys never match but would all hash to one partition; each gets its own negative
-    stand-in made from the row's id. ``right`` has one row per key.
+    Null keys never match but would all hash to one partition; a second join column, made from the
+    row's id where the key is null and 0 elsewhere, spreads them. ``right`` has one row per key.
     """
-    stand_in = F.coalesce(F.col(key), -F.col(row) - 1)
-    return (df.withColumn("_key", stand_in)
-            .join(right.withColumnRenamed(key, "_key"), "_key", "left").drop("_key"))
+    spread = F.when(F.col(key).isNull(), F.xxhash64(row)).otherwise(F.lit(0).cast("bigint"))
+    other = right.withColumnRenamed(key, "_key").withColumn("_spread", F.lit(0).cast("bigint"))
+    left = df.withColumn("_own", spread)
+    return (left.join(other, (F.col(key) == F.col("_key")) & (F.col("_own") == F.col("_spread")), "left")
+            .drop("_key", "_own", "_spread"))
 
 
 def match_calls(lst: DataFrame, calls: DataFrame, phone: str, called: str, call_ts: str,
-                start: str, end: str) -> DataFrame:
-    """First call per list row on a cleaned number within [start, end] days.
+                start: str, end: str, not_before: str | None = None) -> DataFrame:
+    """First call per list row on a cleaned number within [start, end] days, and not before the row's
+    ``not_before`` instant where one is named.
 
-    Calls are cut to the earliest per number and day before the join.
+    Calls are gathered per number and day before the join. List rows that are equal in every column are
+    matched once and come out as often as they went in.
     """
+    times = F.array_sort(F.collect_set(call_ts)) if not_before else F.array(F.min(call_ts))
     daily = (calls.withColumn("_phone", F.regexp_replace(F.col(called), "[^0-9]", ""))
-             .groupBy("_phone", F.to_date(call_ts).alias("_day"))
-             .agg(F.min(call_ts).alias("_first")))
-    left = (lst.withColumn("_phone", F.regexp_replace(F.col(phone), "[^0-9]", ""))
-            .withColumn("_day", F.explode(F.sequence(F.col(start), F.col(end)))))
-    return (left.join(daily, ["_phone", "_day"], "left")
-            .groupBy(*lst.columns).agg(F.min("_first").alias("first_called_time")))
+             .groupBy("_phone", F.to_date(call_ts).alias("_day")).agg(times.alias("_times")))
+    left = (lst.groupBy(*lst.columns).agg(F.count("*").alias("_copies"))
+            .withColumn("_phone", F.regexp_replace(F.col(phone), "[^0-9]", ""))
+            .withColumn("_day", F.explode_outer(F.when(F.col(start) <= F.col(end),
+                                                       F.sequence(F.col(start), F.col(end))))))
+    hit = F.col("_times") if not not_before else F.filter("_times", lambda t: t >= F.col(not_before))
+    return (left.join(daily, ["_phone", "_day"], "left").withColumn("_first", F.get(hit, F.lit(0)))
+            .groupBy(*lst.columns, "_copies").agg(F.min("_first").alias("first_called_time"))
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies")))
+            .drop("_copy", "_copies"))

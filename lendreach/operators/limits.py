@@ -23,12 +23,19 @@ def rate_product(state: Column, product: Column, store: Column,
     return product if out is None else out.otherwise(product)
 
 
+def _capped(sequence: Column, cap: int | None) -> Column:
+    if cap is None:
+        return sequence
+    return F.when(sequence.isNotNull(), F.least(sequence, F.lit(cap)))
+
+
 def rate_card_join(df: DataFrame, rates: DataFrame, frequency: Column, step: int = 0,
-                   remap: Sequence[tuple[str, str, str, str]] = (), cap: int = MAX_SEQUENCE,
+                   remap: Sequence[tuple[str, str, str, str]] = (), cap: int | None = MAX_SEQUENCE,
                    remap_where: Column | None = None) -> DataFrame:
     """Left join on state, product variant, capped loan sequence and pay frequency.
 
-    ``remap_where`` limits the variants to some rows; the others keep their product.
+    ``remap_where`` limits the variants to some rows; the others keep their product. A null sequence
+    has no rate; ``cap`` None leaves sequences as they are.
     """
     r = rates.select(F.col("state_code").alias("_state"), F.col("product_code").alias("_product"),
                      F.col("loan_sequence").alias("_seq"), F.col("pay_frequency").alias("_freq"),
@@ -37,7 +44,7 @@ def rate_card_join(df: DataFrame, rates: DataFrame, frequency: Column, step: int
     if remap_where is not None:
         variant = F.when(remap_where, variant).otherwise(F.col("product"))
     left = (df.withColumn("_p", variant)
-            .withColumn("_s", F.least(F.col("loan_sequence") + step, F.lit(cap)))
+            .withColumn("_s", _capped(F.col("loan_sequence") + step, cap))
             .withColumn("_f", frequency))
     cond = ((F.col("state") == F.col("_state")) & (F.col("_p") == F.col("_product"))
             & (F.col("_s") == F.col("_seq")) & (F.col("_f") == F.col("_freq")))

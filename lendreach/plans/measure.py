@@ -260,7 +260,8 @@ def sms_response(history: DataFrame, leads: DataFrame, customers: DataFrame, cal
                              .alias("phone"))
     df = sent.join(phone, "lms_customer_id", "left").withColumn(
         "_from", F.to_date("list_generation_time")).withColumn("_to", F.date_add("_from", 1))
-    df = match_calls(df, calls, "phone", "called_ani", "call_start_time", "_from", "_to")
+    df = match_calls(df, calls, "phone", "called_ani", "call_start_time", "_from", "_to",
+                     not_before="list_generation_time")
     loan = leads.select("lms_code", "lms_application_id", "origination_time")
     df = df.join(loan, ["lms_code", "lms_application_id"], "left")
     end = F.timestamp_add("HOUR", F.lit(hours), F.col("list_generation_time"))

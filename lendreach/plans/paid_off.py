@@ -13,7 +13,8 @@ from lendreach.functions.money import next_limit, recency_group
 from lendreach.functions.text import job_id
 from lendreach.operators.aggregates import balance, union_distinct
 from lendreach.operators.consent import add_phone, add_sms_consent
-from lendreach.operators.joins import exclude_cross_system, in_windows, with_root_id
+from lendreach.operators.joins import (bounded, exclude_cross_system, in_windows, keep_in,
+                                       with_root_id)
 from lendreach.operators.limits import rate_card_join
 from lendreach.plans.common import (Rules, allowed_place, eligible, exclude_reactivated, list_rows,
                                     system_job)
@@ -62,7 +63,8 @@ def list_pays_off(leads: DataFrame, loans: DataFrame, txns: DataFrame, rates: Da
                   income: DataFrame, collections: DataFrame, run_dates: DataFrame, rules: Rules,
                   suffixes: Sequence[tuple[Column, str]] = ()) -> DataFrame:
     """Loans pending pay-off with a debit on the run date, outside collections."""
-    debit = txns.filter(F.lower("trans_type").isin("debit", "d"))
+    debit = bounded(txns, "trans_date", run_dates, "run_date", "run_date").filter(
+        F.lower("trans_type").isin("debit", "d"))
     debit = debit.withColumn("run_date", F.to_date("trans_date")).join(run_dates, "run_date",
                                                                          "left_semi")
     people = eligible(leads.filter("loan_status = 'pending paid off'"), rules, False,
@@ -91,11 +93,15 @@ def list_paid_off(leads: DataFrame, loans: DataFrame, txns: DataFrame, cal: Data
     paid = paid.withColumn("_day", F.when(F.weekday("paid_off_date") >= 5,
                                           F.col("pre_target_date"))
                            .otherwise(F.col("paid_off_date")))
-    owed = balance(txns, "base_loan_id", {"owed": "principal_amount"}).filter("owed = 0")
-    paid = paid.join(owed, "base_loan_id", "left_semi").select(
-        "loan_header_id", "paid_off_date", F.col("_day").alias("paid_day"))
     windows = run_dates.withColumn("std_date", F.date_sub("run_date", back)).withColumn(
         "end_date", F.col("run_date"))
+    # only the loans of the windows have their balance summed
+    lo, hi = windows.agg(F.min("std_date"), F.max("end_date")).first()
+    paid = paid.filter(F.col("_day").between(F.lit(lo), F.lit(hi)))
+    owed = balance(keep_in(txns, paid, ["base_loan_id"]), "base_loan_id",
+                   {"owed": "principal_amount"}).filter("owed = 0")
+    paid = paid.join(owed, "base_loan_id", "left_semi").select(
+        "loan_header_id", "paid_off_date", F.col("_day").alias("paid_day"))
     people = allowed_place(eligible(leads.filter(F.col("lms_code") == system), rules, True,
                                     use_prefixes=False), rules)
     if skip_products:

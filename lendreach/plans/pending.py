@@ -10,7 +10,7 @@ from lendreach.functions.flags import one
 from lendreach.functions.money import max_limit
 from lendreach.functions.text import bank_verification
 from lendreach.operators.consent import add_phone, add_sms_consent
-from lendreach.operators.joins import exclude_later, in_windows
+from lendreach.operators.joins import bounded, exclude_later, in_windows
 from lendreach.operators.limits import rate_card_join
 from lendreach.plans.common import (CLOSED, Rules, account_flags, allowed_place, eligible,
                                     list_rows, requested, system_job)
@@ -60,6 +60,7 @@ def list_pending_window(leads: DataFrame, rates: DataFrame, consent: DataFrame,
     """
     base = allowed_place(eligible(leads.filter("application_status = 'pending'"), rules, False),
                          rules)
+    base = bounded(base, "received_time", windows, "std_date", "end_date")
     base = in_windows(_named(base, new, returning), F.to_date("received_time"), windows,
                       "std_date", "end_date")
     base = _still_open(base, leads, F.to_date("received_time"))
@@ -77,7 +78,8 @@ def list_pending_today(leads: DataFrame, rates: DataFrame, run_dates: DataFrame,
 
     Product variants of the rate card apply to returning customers only.
     """
-    base = eligible(leads.filter("application_status = 'pending'"), rules, False)
+    base = bounded(leads, "received_time", run_dates, "run_date", "run_date")
+    base = eligible(base.filter("application_status = 'pending'"), rules, False)
     base = _named(allowed_place(base, rules), module, module)
     base = base.filter(F.hour("received_time") < before_hour)
     base = (base.withColumn("run_date", F.to_date("received_time"))
@@ -95,7 +97,8 @@ def list_pending_by_hour(headers: DataFrame, leads: DataFrame, rates: DataFrame,
                          day_shift: int = 0) -> DataFrame:
     """New pending applications created within hours [lo, hi] of the day ``day_shift`` days
     from the run date (-1 for last night)."""
-    made = headers.filter((F.col("status") == "pending")
+    days = run_dates.select(F.date_add("run_date", day_shift).alias("_day"))
+    made = bounded(headers, "created_date", days, "_day", "_day").filter((F.col("status") == "pending")
                           & hour_between(F.col("created_date"), lo, hi))
     made = (made.withColumn("run_date", F.date_sub(F.to_date("created_date"), day_shift))
             .join(run_dates, "run_date", "left_semi"))
@@ -103,7 +106,7 @@ def list_pending_by_hour(headers: DataFrame, leads: DataFrame, rates: DataFrame,
         allowed_place(eligible(leads.filter("loan_sequence = 1"), rules, False), rules),
         F.col("loan_header_id") == F.col("lms_application_id"))
     base = _still_open(base, leads, F.to_date("created_date"))
-    base = rate_card_join(base, rates, F.col("pay_frequency"), cap=1_000_000)
+    base = rate_card_join(base, rates, F.col("pay_frequency"), cap=None)
     return list_rows(base, module, "run_date", system_job(rules, F.col("run_date")), [
         "created_date", F.hour("received_time").alias("hour_received"),
         max_limit(F.col("paycheck"), F.col("rpp"), F.col("hardcap")).alias("max_loan_limit")])
@@ -122,14 +125,15 @@ def list_pending_esign(leads: DataFrame, rates: DataFrame, todo: DataFrame, cons
                        customers: DataFrame, run_dates: DataFrame, rules: Rules, system: str,
                        module: str = "PA0_no_esig") -> DataFrame:
     """Pending applications of one system whose only open step is the e-signature."""
-    base = eligible(leads.filter((F.col("application_status") == "pending")
-                                 & (F.col("lms_code") == system)), rules, False)
+    base = bounded(leads, "received_time", run_dates, "run_date", "run_date")
+    base = eligible(base.filter((F.col("application_status") == "pending")
+                                & (F.col("lms_code") == system)), rules, False)
     base = (allowed_place(base, rules).withColumn("run_date", F.to_date("received_time"))
             .join(run_dates, "run_date", "left_semi"))
     only_esign = todo_counts(todo).filter("incomplete_cnt = 1 and is_esig_incomplete = 1")
     base = base.join(only_esign, F.col("lms_application_id") == F.col("loan_header_id"))
     base = _still_open(base, leads, F.col("run_date"))
-    base = rate_card_join(base, rates, F.col("pay_frequency"), cap=1_000_000)
+    base = rate_card_join(base, rates, F.col("pay_frequency"), cap=None)
     base = add_phone(base, customers, "lms_customer_id", rules.placeholders)
     base = add_sms_consent(base, consent)
     return list_rows(base, module, "run_date", system_job(rules, F.col("run_date")), [
@@ -149,7 +153,8 @@ def list_checklist(leads: DataFrame, todo: DataFrame, consent_state: DataFrame,
     ``accounts`` carries hashed account data as given in the application and in the loan
     system; the steps are pivoted in one pass over the step table.
     """
-    base = allowed_place(leads.filter("isreturning = 0 and isexpress = 0"), rules)
+    base = bounded(leads, "received_time", run_dates, "run_date", "run_date")
+    base = allowed_place(base.filter("isreturning = 0 and isexpress = 0"), rules)
     base = (base.withColumn("run_date", F.to_date("received_time"))
             .join(run_dates, "run_date", "left_semi"))
     steps = (todo.groupBy("loan_header_id").pivot("todo_name", list(TODO_FLAGS))

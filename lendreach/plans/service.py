@@ -12,7 +12,7 @@ from lendreach.functions.dates import delinquency_due, long_date
 from lendreach.functions.flags import carve_out, one
 from lendreach.functions.text import full_name, name_case, norm_key
 from lendreach.operators.aggregates import union_distinct
-from lendreach.operators.joins import exclude, link_sequence
+from lendreach.operators.joins import bounded, exclude, link_sequence
 from lendreach.operators.ranking import draw_sequence, pick_one
 
 
@@ -54,10 +54,11 @@ def list_survey(leads: DataFrame, loans: DataFrame, txns: DataFrame, schedules:
                 items: DataFrame, run_dates: DataFrame, system: str) -> DataFrame:
     """New loan today, paying off today, or a third or later draw yesterday; no repeats."""
     mine = leads.filter(F.col("lms_code") == system)
-    fresh = (mine.withColumn("run_date", F.col("effective_date"))
+    fresh = (bounded(mine, "effective_date", run_dates, "run_date", "run_date")
+             .withColumn("run_date", F.col("effective_date"))
              .join(run_dates, "run_date", "left_semi")
              .filter("loan_status <> 'voided'"))
-    debits = (txns.filter("trans_type = 'Debit'").withColumn("run_date", F.to_date("trans_date"))
+    debits = (bounded(txns, "trans_date", run_dates, "run_date", "run_date").filter("trans_type = 'Debit'").withColumn("run_date", F.to_date("trans_date"))
               .join(run_dates, "run_date", "left_semi").select("base_loan_id", "run_date"))
     closing = (mine.filter("loan_status = 'pending paid off'")
                .join(loans.select("base_loan_id", "loan_header_id"),

@@ -13,7 +13,7 @@ from lendreach.functions.flags import one
 from lendreach.functions.text import valid_mail_ending
 from lendreach.operators.calendar import is_biweekly, weekday_rota
 from lendreach.operators.consent import add_phone, add_sms_consent
-from lendreach.operators.joins import exclude, in_windows
+from lendreach.operators.joins import bounded, exclude, in_windows
 from lendreach.operators.ranking import latest_per
 from lendreach.plans.common import (MAILABLE_REASONS, WINBACK_REASONS, WITHDRAWN, Rules,
                                     allowed_place, eligible, list_rows, requested, system_job)
@@ -52,7 +52,8 @@ def list_withdrawn_range(leads: DataFrame, run_dates: DataFrame, rules: Rules,
     windows = (run_dates.filter(F.weekday("run_date") < 5)
                .withColumn("std_date", F.date_sub("run_date", back))
                .withColumn("end_date", F.date_sub("run_date", until)))
-    base = exclude(withdrawn_new(leads, rules), live_customers(leads), ["lms_customer_id"])
+    base = bounded(withdrawn_new(leads, rules), "withdrawn_time", windows, "std_date", "end_date")
+    base = exclude(base, live_customers(leads), ["lms_customer_id"])
     base = in_windows(base, F.to_date("withdrawn_time"), windows, "std_date", "end_date")
     return list_rows(_last_application(base, "run_date"), module, "run_date",
                      system_job(rules, F.col("run_date")), _extras(key_word))
@@ -64,7 +65,8 @@ def list_withdrawn_on_days(leads: DataFrame, run_dates: DataFrame, rules: Rules,
     targets = run_dates.select("run_date", F.explode(F.array(*[F.lit(n) for n in days]))
                                .alias("days_ago")).withColumn(
         "_day", F.date_sub("run_date", F.col("days_ago")))
-    base = exclude(withdrawn_new(leads, rules), live_customers(leads), ["lms_customer_id"])
+    base = bounded(withdrawn_new(leads, rules), "withdrawn_time", targets, "_day", "_day")
+    base = exclude(base, live_customers(leads), ["lms_customer_id"])
     base = base.withColumn("_day", F.to_date("withdrawn_time")).join(targets, "_day").drop("_day")
     word = F.concat(F.lit("WA"), F.col("days_ago"))
     return list_rows(_last_application(base, "run_date"), module, "run_date",
@@ -119,12 +121,12 @@ def list_cross_brand(leads: DataFrame, other_brand: DataFrame, run_dates: DataFr
     """Withdrawn in the given states with a mail address unknown to the other brand."""
     known = other_brand.filter(F.col("emailaddress").isNotNull())
     open_states = Rules(**{**rules.__dict__, "closed_states": ()})
-    base = withdrawn_new(leads, open_states).filter(
+    windows = (run_dates.withColumn("std_date", F.date_sub("run_date", back))
+               .withColumn("end_date", F.date_sub("run_date", until)))
+    base = bounded(withdrawn_new(leads, open_states), "withdrawn_time", windows, "std_date", "end_date").filter(
         F.col("state").isin(list(states)) & (F.col("maxloanlimit") > 0))
     base = exclude(base, live_customers(leads), ["lms_customer_id"])
     base = exclude(base, known, ["emailaddress"])
-    windows = (run_dates.withColumn("std_date", F.date_sub("run_date", back))
-               .withColumn("end_date", F.date_sub("run_date", until)))
     base = in_windows(base, F.to_date("withdrawn_time"), windows, "std_date", "end_date")
     return list_rows(_last_application(base, "run_date"), module, "run_date",
                      system_job(rules, F.col("run_date")),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -28,10 +29,15 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
-    A machine-local folder is used only where the cluster names none, as in tests.
+    A machine-local folder serves only a local master; a cluster must name its own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return named or tempfile.mkdtemp(prefix="run-")
+    if named:
+        return named
+    master = spark.conf.get("spark.master", "")
+    if not re.match(r"local(\[|$)", master):
+        raise RuntimeError(f"spark.checkpoint.dir is not set: {master} needs a folder that all executors share")
+    return tempfile.mkdtemp(prefix="run-")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import quote
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,23 +23,53 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
                        .alias(f.name) for f in schema])
 
 
-def gathered(df: DataFrame, parts: Sequence[str] = LIST_PARTITIONS, spread: int = 4) -> DataFrame:
-    """Bring the rows of a partition value together in at most ``spread`` tasks, so a write
-    makes few files without putting a large partition into one task."""
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(spread))
-    return df.repartition(*[F.col(p) for p in parts], salt)
+def gathered(df: DataFrame, parts: Sequence[str] = LIST_PARTITIONS) -> DataFrame:
+    """Bring the rows of a partition value together, so that a write makes few files; Spark splits
+    values that are too large for one task by their measured size and merges small ones."""
+    return df.hint("rebalance", *[F.col(p) for p in parts])
 
 
 def append_history(df: DataFrame, path: str, parts: Sequence[str] = LIST_PARTITIONS) -> None:
     df.write.mode("append").partitionBy(*parts).parquet(path)
 
 
-def replace_run(df: DataFrame, path: str, parts: Sequence[str] = LIST_PARTITIONS) -> None:
-    """Replace only the partitions present in ``df``: running a list again changes nothing else."""
+def replace_run(df: DataFrame, path: str, parts: Sequence[str] = LIST_PARTITIONS,
+                runs: Sequence[Sequence] = ()) -> None:
+    """Replace the partitions present in ``df``, and empty those of ``runs`` first.
+
+    ``runs`` are the partition values that this run stands for, in the order of ``parts``: where the run
+    has no row any more, its earlier rows go. Both steps can be repeated; running a list again changes
+    nothing else.
+    """
+    spark = df.sparkSession
+    for run in _stored(spark, path, parts, runs):
+        folder = "/".join([path.rstrip("/"), *(f"{p}={_folder(v)}" for p, v in zip(parts, run, strict=True))])
+        df.filter(F.lit(False)).drop(*parts).write.mode("overwrite").parquet(folder)
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*parts).parquet(path))
 
 
+def _folder(value) -> str:
+    return "__HIVE_DEFAULT_PARTITION__" if value is None else quote(str(value), safe=" +-_.,;()@&!~")
+
+
+def _stored(spark: SparkSession, path: str, parts: Sequence[str], runs: Sequence[Sequence]) -> list[tuple]:
+    """Those of ``runs`` that the table at ``path`` holds; none where there is no table yet."""
+    if not runs:
+        return []
+    try:
+        have = spark.read.parquet(path).select(*[F.col(p).cast("string").alias(p) for p in parts])
+    except AnalysisException:
+        return []
+    text = [tuple(None if v is None else str(v) for v in run) for run in runs]
+    wanted = spark.createDataFrame(text, ", ".join(f"_{p} string" for p in parts))
+    same = None
+    for p in parts:
+        one = F.col(p).eqNullSafe(F.col(f"_{p}"))
+        same = one if same is None else same & one
+    return [tuple(r) for r in wanted.join(have.distinct(), same, "left_semi").collect()]
+
+
 def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lendreach.session import fresh_path
 from lendreach.sources.writers import replace_run
 
 
@@ -62,25 +61,28 @@ def dedupe_stream(lists: DataFrame, keys: Sequence[str], ts: str, period: str) -
     return _watermarked(lists, ts, period).dropDuplicatesWithinWatermark(list(keys))
 
 
-def foreach_batch_writer(path: str, parts: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """Write each micro-batch to its own partition; a batch that runs again replaces itself."""
+def foreach_batch_writer(path: str, parts: Sequence[str], job: str) -> Callable[[DataFrame, int], None]:
+    """Write each micro-batch to its own partition (job, batch); a batch that runs again replaces itself.
+
+    Batch numbers go on after a restart only with the job's own state folder, so a new state folder
+    must come with a new ``job`` name.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        replace_run(batch.withColumn("batch_id", F.lit(batch_id)), path, ["batch_id", *parts])
+        replace_run(batch.withColumns({"job": F.lit(job), "batch_id": F.lit(batch_id)}), path,
+                    ["job", "batch_id", *parts])
     return write
 
 
-def run_available(df: DataFrame, name: str, mode: str = "append",
-                  writer: Callable[[DataFrame, int], None] | None = None,
-                  out: str | None = None) -> str:
+def run_available(df: DataFrame, state: str, out: str, mode: str = "append",
+                  writer: Callable[[DataFrame, int], None] | None = None) -> str:
     """Process what is there, wait for the end, and return the output path.
 
-    Without a ``writer`` rows go to a parquet sink; update mode needs a writer.
+    ``state`` is the job's own folder of offsets and open sessions: the next call with the same folder
+    goes on where this one ended. Without a ``writer`` rows go to a parquet sink at ``out``; update mode
+    needs a writer.
     """
-    spark = df.sparkSession
-    path = out or fresh_path(spark, name)
-    w = (df.writeStream.outputMode(mode).trigger(availableNow=True)
-         .option("checkpointLocation", fresh_path(spark, name + "-state")))
-    w = w.foreachBatch(writer) if writer else w.format("parquet").option("path", path)
+    w = df.writeStream.outputMode(mode).trigger(availableNow=True).option("checkpointLocation", state)
+    w = w.foreachBatch(writer) if writer else w.format("parquet").option("path", out)
     q = w.start()
     q.awaitTermination()
-    return path
+    return out
