@@ -1,0 +1,627 @@
+"""Each corpus operator on small tables: nulls, empty and very long texts, ties, repeats, empty tables, clashing names."""
+
+import base64
+import collections
+import hashlib
+import io
+import itertools
+import random
+import re
+import struct
+import zipfile
+import zlib
+
+import duckdb
+import numpy as np
+import pyarrow as pa
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from lendreach.checks.verify import compare
+from lendreach.llm import (ann, balltree, jaccard, langid, mixing, packing, queries, secret_scan, sharding, toxicity,
+                           utf8, warc)
+from lendreach.llm.common import numbered
+from lendreach.llm.components import components
+from lendreach.session import fresh_path
+
+SF = "/root/testdata/sf0.001"
+DOC = "doc_id long, text string, lang string, source string, n_chars int"
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def docs(spark, texts, sources=None, langs=None):
+    return spark.createDataFrame(
+        [(i, t, (langs or {}).get(i, "en"), (sources or {}).get(i, "s"), len(t or "")) for i, t in enumerate(texts)], DOC)
+
+
+def words_of(text, low=True):
+    if low:
+        text = re.sub("[A-Z]", lambda m: m[0].lower(), text)
+    return re.findall(r"[^\x20\x09-\x0d]+", text)
+
+
+def table(spark, name):
+    return spark.read.parquet(f"{SF}/{name}.parquet")
+
+
+# ---- shared ----------------------------------------------------------------------------------------
+
+def test_word_hashes_follow_the_words():
+    rnd = random.Random(1)
+    texts = ["", None, "  ", "A b\tC", "é É éa", "x" * 70_000]
+    texts += [" ".join(rnd.choice(["ab", "Ab", "c", "ñandú", "d,"]) for _ in range(rnd.randint(0, 40))) for _ in range(50)]
+    texts.append("long words " * 300_000)       # several blocks
+    seen, total = {}, 0
+    for row, h, offs in utf8.word_blocks(pa.array(texts)):
+        for i in range(len(offs) - 1):
+            words = words_of(texts[row + i] or "")
+            part = h[offs[i]:offs[i + 1]]
+            assert len(part) == len(words)
+            total += len(words)
+            for w, x in zip(words, part.tolist(), strict=True):
+                assert seen.setdefault(w, x) == x
+    assert len(set(seen.values())) == len(seen) and total > 600_000
+
+
+def test_shingles_are_the_distinct_windows():
+    def count(text, n):
+        (_, h, _), = utf8.word_blocks(pa.array([text]))
+        return len(utf8.shingles(h, n))
+    assert [count(t, 3) for t in ("", "a", "a b", "a b c", "a b c d", "a a a a a")] == [0, 1, 1, 1, 2, 1]
+
+
+def test_numbers_are_gapless_with_a_hot_group(spark):
+    rows = spark.range(300).select(F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 3 == 1, None)
+                                   .otherwise(F.col("id").cast("string")).alias("g"), "id")
+    got = collections.defaultdict(list)
+    for r in numbered(rows, F.col("g"), F.col("id"), "n").collect():
+        got[r.g].append(r.n)
+    assert all(sorted(v) == list(range(len(v))) for v in got.values()) and len(got["a"]) == len(got[None]) == 100
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    rnd = random.Random(4)
+    links = [(i, i + 1) for i in range(0, 60)] + [(100, x) for x in range(101, 140)] + [(7, 7)]
+    links += [(rnd.randint(200, 400), rnd.randint(200, 400)) for _ in range(80)]
+    parent = {x: x for p in links for x in p}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a, b in links:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    linked = {x for a, b in links if a != b for x in (a, b)}
+    got = {r.u: r.root for r in components(spark.createDataFrame(links, "x long, y long")).collect()}
+    assert got == {x: root(x) for x in linked}
+    assert components(spark.createDataFrame([], "x long, y long")).count() == 0
+
+
+# ---- 1 and 9: vectors ------------------------------------------------------------------------------
+
+def vectors(seed=0, n=400, dim=8):
+    rng = np.random.default_rng(seed)
+    x = rng.standard_normal((n, dim)).round(2)
+    x[n // 2:n // 2 + n // 4] = x[0]       # a hot group of copies
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    return rows + [(1000, None), (1001, [0.0] * dim), (1002, [float("nan")] * dim), (1003, [1.0, None] + [0.0] * (dim - 2)),
+                   (1004, [1.0]), (1005, [float("inf")] + [0.0] * (dim - 1)), (None, [1.0] * dim), (20, x[20].tolist())]
+
+
+VEC = "vec_id long, embedding array<float>, rank int, score int, bucket int"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, 1, 2, 3) for r in rows], VEC)
+
+
+def brute_top(rows, every, k, scale=None, zero=False):
+    keep = {i: np.array(v, np.float32).astype(float) for i, v in rows if i is not None and v and len(v) == 8 and None not in v
+            and np.isfinite(v).all() and (zero or any(v))}
+    if scale:
+        keep = {i: np.floor(scale * v) for i, v in keep.items()}
+    out = {}
+    for q in (i for i in keep if i % every == 0):
+        score = sorted((-float((keep[i] * keep[q]).sum()), i) for i in keep if i != q)[:k]
+        out[q] = [(i, -s) for s, i in score]
+    return out
+
+
+def test_exact_top_equals_brute_force(spark):
+    rows = vectors()
+    got = collections.defaultdict(list)
+    for r in balltree.exact_top(frame(spark, rows), F.col("id") % 10 == 0, 10).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    assert got == brute_top(rows, 10, 10, 1024, zero=True)
+
+
+def test_exact_top_over_many_shards(spark, monkeypatch):
+    monkeypatch.setattr(balltree, "SHARD_ROWS", 40)
+    rows = vectors(3)
+    got = collections.defaultdict(list)
+    for r in balltree.exact_top(frame(spark, rows), F.col("id") % 50 == 0, 5).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    assert got == brute_top(rows, 50, 5, 1024, zero=True)
+
+
+def test_exact_top_matches_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SF}/embeddings.parquet'")
+    ok, _, why = compare(spark, con, queries.QUERIES["op9_topk"], queries.ORACLES["op9_topk"], SF)
+    assert ok, why
+
+
+def test_probing_recall_and_scores(spark):
+    rows = [(r.vec_id, r.embedding) for r in table(spark, "embeddings").select("vec_id", "embedding").collect()]
+    x = {i: np.array(v, float) for i, v in rows}
+    hit = total = 0
+    for q, got in itertools.groupby(queries.op1_ann(spark, SF).orderBy("query_id", "rank").collect(), lambda r: r.query_id):
+        got = list(got)
+        want = sorted(x, key=lambda i: (-float(x[i] @ x[q]), i))
+        want.remove(q)
+        assert [r.rank for r in got] == list(range(1, 21))
+        assert all(abs(r.score - float(x[r.vec_id] @ x[q])) < 1e-12 for r in got)
+        hit += len({r.vec_id for r in got} & set(want[:20]))
+        total += 20
+    assert total == 20 * sum(i % 20 == 0 for i in x) and hit / total >= 0.9
+
+
+def test_probing_with_copies_and_bad_vectors(spark, monkeypatch):
+    monkeypatch.setattr(ann, "ROWS", 60)
+    rows = vectors(1)
+    everything = ann.Probing(tables=2, hashes=1, width=50.0, probes=2)      # all buckets: must be exact
+    got = collections.defaultdict(list)
+    for r in ann.near_vectors(frame(spark, rows), F.col("id") % 20 == 0, 6, probing=everything).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, round(r.score, 9)))
+    assert got == {q: [(i, round(s, 9)) for i, s in v] for q, v in brute_top(rows, 20, 6).items()}
+
+
+@pytest.mark.parametrize("search", [lambda df: ann.near_vectors(df, F.col("id") % 2 == 0, 3),
+                                    lambda df: balltree.exact_top(df, F.col("id") % 2 == 0, 3)])
+def test_searches_of_empty_and_single(spark, search):
+    assert search(frame(spark, []).limit(0)).count() == 0
+    assert search(frame(spark, [(2, [1.0, 2.0])])).count() == 0
+
+
+def test_perturbations_rise_and_never_move_both_ways():
+    sets = ann.perturbations(4, 30)
+    assert sets[0] == (0,) and len(set(sets)) == 30
+    assert all(7 - p not in s for s in sets for p in s)
+
+
+# ---- 2: language -----------------------------------------------------------------------------------
+
+def phrases_by_hand(reference, text):
+    """Greedy parse by substring search."""
+    n, at = 1, 0
+    for i in range(len(text)):
+        if text[at:i + 1] not in reference:
+            n += 1
+            at = i if text[i] in reference else i + 1
+    return n
+
+
+def test_phrase_counts_equal_substring_search():
+    rnd = random.Random(2)
+    refs = ["".join(rnd.choice("abc ") for _ in range(300)), "".join(rnd.choice("bcd ") for _ in range(300))]
+    p = langid.build(langid.Sample(("x", "y"), tuple(refs)))
+    texts = ["", "abc", "d" * 10, "".join(rnd.choice("abcd ") for _ in range(500)), "abcd " * 3000]
+    count, size, lettered = langid.phrases(p, texts)
+    for t, c in zip(texts[:4], count.tolist(), strict=False):
+        assert c == ([phrases_by_hand(r, t) for r in refs] if t else [0, 0])
+    assert size.tolist() == [len(t) for t in texts] and lettered.tolist() == [False, True, True, True, True]
+    lanes = [sum(phrases_by_hand(r, texts[4][i:i + langid.WINDOW]) for i in range(0, len(texts[4]), langid.WINDOW)) for r in refs]
+    assert count[4].tolist() == lanes
+
+
+def test_language_query_is_right_on_held_out_text(spark):
+    got = queries.op2_langid(spark, SF).join(table(spark, "documents").select("doc_id", "lang", "text"), "doc_id")
+    held = [r for r in got.collect() if r.held_out]
+    assert sum(r.lang == r.lang_pred for r in held) / len(held) > 0.95
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in held)
+
+
+def test_language_edges(spark):
+    texts = ["the cat sat on the mat " * 30, "le chat est sur la table " * 30, None, "", "123 !", "THE CAT sat", "le chat",
+             "the cat sat " * 20_000]
+    df = docs(spark, texts, langs={1: "fr", 2: "fr", 4: None, 5: None, 6: None, 7: None}).withColumn("score", F.lit("own"))
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(df, langid.learn(df, F.lit(True))).collect()}
+    assert [got[i][0] for i in range(8)] == ["en", "fr", "und", "und", "und", "en", "fr", "en"]
+    assert all(0 <= s <= 1 for _, s in got.values())
+    none = langid.learn(df, F.lit(False))
+    assert {r.lang_pred for r in langid.identify(df, none).collect()} == {"und"}
+    assert langid.identify(df.limit(0), langid.learn(df.limit(0), F.lit(True))).count() == 0
+
+
+# ---- 3: secrets ------------------------------------------------------------------------------------
+
+def base_by_hand(text):
+    out = []
+    for m in re.finditer(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", text,
+                         re.IGNORECASE | re.ASCII):
+        if len(m[2]) >= 6:
+            out.append((m.start(), 0, m.end()))
+    out += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    out += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
+    return ",".join(f"{('assign', 'access', 'hex')[k]}:{a}:{z}" for a, k, z in sorted(out))
+
+
+SECRETS = [None, "", "PassWord = 'abcdef' and token: x", "é🙂 api_key=\"AKIA" + "A1" * 10 + "\" ok",
+           "token=token=secret1 secret:ab secret:abcdef", "deadbeef" * 3 + " " + "deadbee" * 3, "nothing here",
+           "apikey:   " + "0123456789abcdef" * 2, "text " * 50_000 + "passwd=hunter22", "ſecret=abcdefgh Key",
+           "auth bearer x9Kq2LmZ8vT4pR7wY3nB6sD1 trailing", "the key word internationalization12345678 is plain"]
+
+
+def test_base_spans_and_digests(spark):
+    df = docs(spark, SECRETS).withColumn("spans", F.lit(1))
+    for r in secret_scan.scan_secrets(df).collect():
+        want = base_by_hand(SECRETS[r.doc_id] or "")
+        assert r.base_sha256 == hashlib.sha256(want.encode()).hexdigest(), (r.doc_id, want, r.spans)
+        assert [s for s in r.spans.split(",") if s and not s.startswith("novel")] == [s for s in want.split(",") if s]
+        assert r.n_assign == want.count("assign") and r.n_access == want.count("access") and r.n_hex == want.count("hex")
+    assert secret_scan.scan_secrets(df.limit(0)).count() == 0
+
+
+def test_novel_strings_need_context_and_surprise():
+    novelty = secret_scan.Novelty()
+    found = secret_scan.find_secrets(SECRETS[10], novelty)
+    assert [k for *_, k in found] == ["novel"] and SECRETS[10][found[0][0]:found[0][1]] == "x9Kq2LmZ8vT4pR7wY3nB6sD1"
+    assert secret_scan.find_secrets("number x9Kq2LmZ8vT4pR7wY3nB6sD1", novelty) == []
+    said = "public_key access_token " * 3
+    assert secret_scan.find_secrets(said + "key xyz1xyz1xyz1xyz1xyz1xyz1xyz1xyz1", novelty) == []
+    assert novelty.bits(said, "access_token") < novelty.bits(said, "x9Kq2LmZ8vT4")
+
+
+def test_redaction_joins_overlapping_spans():
+    text = "a token=deadbeefdeadbeefdeadbeef00 b"
+    spans = secret_scan.find_secrets(text, secret_scan.Novelty())
+    assert [k for *_, k in spans] == ["assign", "hex"] and secret_scan.redacted(text, spans, "#") == "a # b"
+    assert secret_scan.redacted(None, [], "#") is None
+
+
+# ---- 4: packing ------------------------------------------------------------------------------------
+
+def test_hilbert_is_a_walk_over_every_cell():
+    cells = np.array(list(itertools.product(range(8), repeat=3)))
+    key = packing.hilbert(cells, 3)
+    walk = cells[np.argsort(key)]
+    assert sorted(key.tolist()) == list(range(512)) and (np.abs(np.diff(walk, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_fast_ids_equal_the_tokenizer():
+    ids = packing.ids_of(VOCABULARY)
+    assert ids.fast is not None
+    texts = ["It's  we'll\n\n x\t'' 'sab !'s don't  ", "a   b   c  ", "   ", "12 34½²", "日本語 ok", "<|endoftext|> x", "",
+             " \n \n\t x", "ÀÉîõü ñ", "🙂🙂 é", "a" * 3000, " x y"]
+    for t in texts:
+        assert ids.encode(t) == ids.slow.encode(t, add_special_tokens=False).ids, t
+    assert ids.encode("x" + " " * 6000 + "y") == ids.slow.encode("x" + " " * 6000 + "y", add_special_tokens=False).ids
+
+
+def test_packed_pieces_hold_every_id_once(spark):
+    rnd = random.Random(5)
+    texts = [None, "", "hello world", "hello world"] + [" ".join(rnd.choice(["alpha", "béta", "gamma", "\n"]) for _ in range(rnd.randint(1, 900)))
+                                                        for _ in range(30)] + ["very long text " * 20_000]
+    df = docs(spark, texts).withColumn("curve", F.lit("own")).withColumn("offset", F.lit(0))
+    df = df.unionAll(df.filter("doc_id = 5"))       # a repeated row is a document of its own
+    slow = packing.ids_of(VOCABULARY).slow
+    want = {i: np.array([*slow.encode(t or "", add_special_tokens=False).ids, 0], "<u4") for i, t in enumerate(texts)}
+    got = packing.pack_documents(df, VOCABULARY, part_bytes=100_000).collect()
+    seen, seqs = collections.defaultdict(list), collections.defaultdict(list)
+    for r in got:
+        assert bytes(r.ids) == want[r.doc_id][r.start:r.start + r.length].tobytes() and r.doc_tokens == len(want[r.doc_id])
+        seen[r.doc_id].append((r.start, r.length))
+        seqs[r.sequence_id].append((r.offset, r.length))
+    for i, w in want.items():
+        places = sorted(p for a, n in seen[i] for p in range(a, a + n))
+        assert places == sorted(list(range(len(w))) * (2 if i == 5 else 1))
+    sizes = []
+    for parts in seqs.values():
+        parts.sort()
+        assert [a for a, _ in parts] == [sum(n for _, n in parts[:i]) for i in range(len(parts))]
+        sizes.append(sum(n for _, n in parts))
+    assert max(sizes) == 1024 and all(n & (n - 1) == 0 for n in sizes)      # nothing is padded
+    assert packing.pack_documents(df.limit(0), VOCABULARY).count() == 0
+
+
+# ---- 5: toxicity -----------------------------------------------------------------------------------
+
+def test_pairs_of_terms_matter():
+    """Label 1 only where two terms meet: no sum of single weights can tell, the factors can."""
+    rnd = random.Random(3)
+    rows, labels = [], []
+    for _ in range(1200):
+        a, b = rnd.random() < 0.5, rnd.random() < 0.5
+        rows.append(np.array(sorted([*([11] if a else [12]), *([21] if b else [22])]), np.uint64))
+        labels.append(float(a == b))
+    chi, toxicity.MIN_CHI = toxicity.MIN_CHI, 0.0
+    try:
+        m = toxicity.fit(np.concatenate(rows), np.full(len(rows), 2), np.array(labels), epochs=60, weight=1.0)
+    finally:
+        toxicity.MIN_CHI = chi
+    at = [np.searchsorted(m.terms, r) for r in rows]
+    raw = toxicity._raw(m, np.concatenate(at), np.arange(len(rows) + 1) * 2)
+    assert np.mean((raw > 0) == (np.array(labels) > 0)) > 0.95
+
+
+def test_toxicity_on_held_out_documents(spark):
+    got = queries.op5_toxicity(spark, "/root/testdata/sf0.1").join(
+        spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "toxic"), "doc_id").collect()
+    held = [r for r in got if r.held_out]
+    toxic = [r for r in held if r.toxic]
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in got)
+    assert sum(r.predicted for r in toxic) / len(toxic) > 0.8
+    assert sum(r.predicted for r in held if not r.toxic) / (len(held) - len(toxic)) < 0.01
+
+
+def test_toxicity_edges(spark):
+    bad = [f"you are an idiot number {i} of all" for i in range(20)]
+    good = [f"a fine day number {i} for all of us" for i in range(40)]
+    df = docs(spark, [*bad, *good, None, "", "idiot " * 300_000]).withColumn("score", F.lit("own"))
+    labels = spark.createDataFrame([(i, 1) for i in range(20)] + [(i, 0) for i in range(20, 60)] + [(3, 0), (None, 1), (5, None)],
+                                   "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.toxic_scores(df, labels, F.lit(True)).collect()}
+    assert min(got[i] for i in range(20)) > max(got[i] for i in range(20, 60))
+    assert got[60] == got[61] and got[62] > got[60]
+    one = toxicity.toxic_scores(df, labels.filter("toxic = 0"), F.lit(True)).collect()
+    assert len({r.score for r in one}) == 1 and one[0].score < 0.1
+    assert toxicity.toxic_scores(df.limit(0), labels.limit(0), F.lit(True)).count() == 0
+
+
+# ---- 6: archives -----------------------------------------------------------------------------------
+
+PAGES = [(1, "u1", "same"), (2, "u2", "same"), (9, "u9", "same"), (3, None, None), (4, "u4", ""), (5, "http://é\r\nX: y", "é\r\n\r\n🙂"),
+         (6, "u6", "z" * 300_000), (None, "u", "lost")]
+
+
+def test_archives_round_trip(spark):
+    df = spark.createDataFrame([(*p, "own") for p in PAGES], "page_id long, url string, html string, sha1 string")
+    got = {r.page_id: r for r in warc.round_trip(df).collect()}
+    owner = {}
+    for i, _, h in PAGES[:-1]:
+        owner[h or ""] = max(owner.get(h or "", 0), i)
+    assert set(got) == {i for i, *_ in PAGES[:-1]}
+    for i, _, h in PAGES[:-1]:
+        raw, r = (h or "").encode(), got[i]
+        first = owner[h or ""]
+        assert r.payload_bytes == len(raw) and r.payload_digest == base64.b32encode(hashlib.sha1(raw).digest()).decode()
+        assert (r.record_type, r.refers_to) == (("response", None) if first == i else ("revisit", first))
+        assert r.payload == (raw if first == i else None)
+    assert warc.round_trip(df.limit(0)).count() == 0
+
+
+def test_archive_query_matches_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{SF}/pages.parquet'")
+    ok, _, why = compare(spark, con, queries.QUERIES["op6_warc"], queries.ORACLES["op6_warc"], SF)
+    assert ok, why
+
+
+def test_small_archives_and_blocks(spark):
+    df = spark.createDataFrame([(i, f"u{i}", f"page {i} " * 50) for i in range(60)], "page_id long, url string, html string")
+    manifest = warc.write_archives(df.coalesce(2), fresh_path(spark, "warc"), archive_bytes=1000)
+    assert manifest.count() > 5 and manifest.agg(F.sum("records")).first()[0] == 60
+    got = warc.read_archives(manifest, block_bytes=300)
+    assert sorted((r.page_id, bytes(r.payload).decode()) for r in got.collect()) == [(i, f"page {i} " * 50) for i in range(60)]
+
+
+def test_directory_of_own_and_of_other_writers():
+    raw = io.BytesIO()
+    z = warc.ZipWriter(raw)
+    z.store("a/b", [b"one", b"two"])
+    z.store("é", [b""])
+    z.finish()
+    assert raw.getvalue().count(struct.pack("<I", warc.END64)) == 1
+    at = warc.members(raw, len(raw.getvalue()))
+    assert {n: raw.getvalue()[a:a + k] for n, (a, k) in at.items()} == {"a/b": b"onetwo", "é": b""}
+    with zipfile.ZipFile(raw) as f:         # the usual reader agrees
+        assert f.read("a/b") == b"onetwo" and f.testzip() is None
+    raw = io.BytesIO()
+    with zipfile.ZipFile(raw, "w", zipfile.ZIP_STORED) as f:
+        f.writestr("x", b"123")
+        f.writestr("packed", b"0" * 1000, zipfile.ZIP_DEFLATED)
+        f.comment = b"some words"
+    at = warc.members(raw, len(raw.getvalue()))
+    assert set(at) == {"x"} and raw.getvalue()[at["x"][0]:][:3] == b"123"
+    with pytest.raises(ValueError):
+        warc.members(io.BytesIO(b"nothing"), 7)
+
+
+# ---- 7: similarity join ----------------------------------------------------------------------------
+
+def brute_links(rows, rule):
+    sets = {}
+    for i, t in rows:
+        w = words_of(t or "")
+        k = min(rule.words, len(w))
+        sets[i] = {tuple(w[j:j + k]) for j in range(len(w) - k + 1)} if w else set()
+    parent = {i: i for i in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a, b in itertools.combinations(sorted(sets), 2):
+        both = len(sets[a] & sets[b])
+        if both and rule.den * both >= rule.num * len(sets[a] | sets[b]):
+            x, y = root(a), root(b)
+            parent[max(x, y)] = min(x, y)
+    return {i: (len(sets[i]), root(i)) for i in sets}
+
+
+def near_texts(seed, n=160):
+    rnd = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(400)]
+    out = []
+    for _ in range(n):
+        if out and rnd.random() < 0.7:      # a chain of small edits, of one family more often than others
+            w = (out[0] if rnd.random() < 0.4 else rnd.choice(out)).split()
+            for _ in range(rnd.randint(0, 3)):
+                w[rnd.randrange(len(w))] = rnd.choice(vocabulary)
+            out.append(" ".join(w))
+        else:
+            out.append(" ".join(rnd.choice(vocabulary) for _ in range(rnd.randint(3, 120))))
+    return [*out, None, "", " \t", "one", "ONE", "two words", "x" * 5000, " ".join(f"u{i}" for i in range(6000))]
+
+
+@pytest.mark.parametrize("seed,rule", [(1, jaccard.Rule(3, 90, 100)), (2, jaccard.Rule(5, 80, 100)), (3, jaccard.Rule(2, 60, 100))])
+def test_links_equal_brute_force(spark, monkeypatch, seed, rule):
+    monkeypatch.setattr(jaccard, "BLOCK", 16)       # hot lists span blocks
+    monkeypatch.setattr(jaccard, "SMALL_RUN", 6)
+    texts = near_texts(seed)
+    df = docs(spark, texts).withColumn("n", F.lit("own")).withColumn("token", F.lit(1)).repartition(5)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.link_documents(df, rule).collect()}
+    assert got == brute_links(list(enumerate(texts)), rule)
+
+
+def test_links_match_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    ok, _, why = compare(spark, con, queries.QUERIES["op7_jaccard"], queries.ORACLES["op7_jaccard"], SF)
+    assert ok, why
+
+
+def test_links_of_nulls_repeats_and_nothing(spark):
+    rows = [(4, "a b c d"), (4, "a b c d"), (None, "a b c d"), (2, "a b c d"), (7, "q r s t"), (None, "lonely text here now")]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOC)
+    got = collections.Counter((r.doc_id, r.component_id) for r in jaccard.link_documents(df).collect())
+    assert got == {(4, 2): 2, (None, 2): 1, (2, 2): 1, (7, 7): 1, (None, None): 1}
+    assert jaccard.link_documents(df.limit(0)).count() == 0
+
+
+def test_bitmaps_never_overstate_the_difference():
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        a = np.unique(rng.integers(0, 2**63, rng.integers(1, 900), dtype=np.uint64))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.8], rng.integers(0, 2**63, 50, dtype=np.uint64)]))
+        bits = np.bitwise_count(np.frombuffer(jaccard.parity(a), np.uint64) ^ np.frombuffer(jaccard.parity(b), np.uint64)).sum()
+        assert bits <= len(np.setxor1d(a, b))
+
+
+# ---- 8: sharding -----------------------------------------------------------------------------------
+
+def test_sharding_matches_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    ok, _, why = compare(spark, con, queries.QUERIES["op8_sharding"], queries.ORACLES["op8_sharding"], SF)
+    assert ok, why
+
+
+def test_rows_move_only_into_the_new_shard_and_slots_are_gapless(spark):
+    tree = sharding.layout(16)
+    df = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("é").alias("text"), F.lit("own").alias("slot"),
+                                  F.lit("own").alias("region"))
+    df = df.unionAll(spark.createDataFrame([(None, None, "x", "y"), (5, "", "x", "y")],
+                                           "doc_id long, text string, slot string, region string"))
+    got = sharding.shard_rows(df, "doc_id", tree, sharding.grow(tree, 16), "text").collect()
+    assert all(r.grown_shard in (r.shard, 16) for r in got) and 100 < sum(r.grown_shard == 16 for r in got) < 260
+    by = collections.defaultdict(list)
+    for r in got:
+        by[r.shard].append(r.slot)
+        assert (r["size"], r.text_crc32) == ((3, zlib.crc32("é".encode())) if r["size"] > 1 else (1, 0))
+    assert len(by) == 16 and all(sorted(v) == list(range(len(v))) for v in by.values())
+    assert len({r.shard for r in got if r.doc_id == 5}) == 1
+    assert sharding.shard_rows(df.limit(0), "doc_id", tree, text="text").count() == 0
+
+
+def test_weights_set_shares_and_confine_movement(spark):
+    tree = {"a": {"a1": {0: 1.0, 1: 3.0}, "a2": {2: 0.0, 3: 2.0}}, "b": {"b1": {4: 2.0}}}
+    less = {**tree, "a": {**tree["a"], "a1": {0: 1.0, 1: 3.0}, "a2": {2: 0.0, 3: 1.0}}}
+    rows = spark.range(8000).withColumnRenamed("id", "k")
+    a = {r.k: (r.region, r.rack, r.shard) for r in sharding.place(rows, "k", tree).collect()}
+    b = {r.k: (r.region, r.rack, r.shard) for r in sharding.place(rows, "k", less).collect()}
+    share = collections.Counter(s for *_, s in a.values())
+    assert share[2] == 0 and all(abs(share[s] / 8000 - w / 8) < 0.025 for s, w in ((0, 1), (1, 3), (3, 2), (4, 2)))
+    moved = [(a[k], b[k]) for k in a if a[k] != b[k]]
+    assert moved and all(x[0] == "a" for x, _ in moved)     # nothing enters the subtree that lost weight from outside
+    with pytest.raises(ValueError):
+        sharding.place(rows, "k", {"a": {"r": {0: 0.0}}})
+
+
+# ---- 10: mixing ------------------------------------------------------------------------------------
+
+def edf_by_hand(weights):
+    d = sum(weights.values())
+    left, out = {s: 0 for s in weights}, []
+    for t in range(d):
+        ready = [(-(-(left[s] + 1) * d // w), s) for s, w in weights.items() if left[s] < w and left[s] * d // w <= t]
+        _, s = min(ready)
+        left[s] += 1
+        out.append(s)
+    return out
+
+
+@pytest.mark.parametrize("weights", [{"a": 1}, {"a": 1, "b": 1}, {"a": 5, "b": 3, "c": 1, "d": 11}, {f"s{i:02}": i + 1 for i in range(20)}])
+def test_windows_hold_and_lag_stays_under_one_block(weights):
+    d, at = sum(weights.values()), mixing.edf_period(weights)
+    order = edf_by_hand(weights)
+    for s, w in weights.items():
+        assert at[s] == [t for t, x in enumerate(order) if x == s]
+        assert all(i * d // w <= t < -(-(i + 1) * d // w) for i, t in enumerate(at[s]))
+        for t in range(d + 1):
+            assert abs(sum(x < t for x in at[s]) - w * t / d) < 1
+
+
+def test_mixture_keeps_every_row_and_its_targets(spark):
+    rows = [(i, None if i % 10 == 0 else "hot" if i % 3 else f"s{i % 4}", "own") for i in range(500)] + [(7, "hot", "own")]
+    df = spark.createDataFrame(rows, "doc_id long, source string, slot string")
+    got = mixing.mix_sources(df, "source", "doc_id", {"hot": 3, "s0": 1, None: 2}, block_rows=4, period=24).collect()
+    assert sorted((r.doc_id, r.source or "") for r in got) == sorted((i, s or "") for i, s, _ in rows)
+    slots = collections.defaultdict(set)
+    for r in got:
+        slots[r.slot].add((r.source, r.block, r.phase))
+        assert r.release <= r.slot < r.deadline
+    assert sorted(slots) == list(range(len(slots))) and all(len(v) == 1 for v in slots.values())
+    order = [next(iter(slots[t])) for t in range(len(slots))]
+    first = [s for s, _, p in order if p == 0]
+    target = mixing.integer_weights({s: {"hot": 3, "s0": 1, None: 2}.get(s, 1) for s in sorted({s for s, *_ in order}, key=str)} and
+                                    {"=hot": 3.0, "=s0": 1.0, "null": 2.0, "=s1": 1.0, "=s2": 1.0, "=s3": 1.0}, 24)
+    for name, w in target.items():
+        s = None if name == "null" else name[1:]
+        for t in range(1, len(first) + 1):
+            assert abs(first[:t].count(s) - w * t / 24) < 1
+    for s in {s for s, *_ in order}:
+        assert [b for x, b, _ in order if x == s] == sorted({b for x, b, _ in order if x == s})
+    assert mixing.mix_sources(df.limit(0), "source", "doc_id").count() == 0
+    with pytest.raises(ValueError):
+        mixing.mix_sources(df, "source", "doc_id", {"hot": 0})
+
+
+# ---- the pipeline ----------------------------------------------------------------------------------
+
+def test_stages_keep_columns_and_do_their_work(spark):
+    base = near_texts(9, 60)
+    texts = [*base, *["you are an idiot and a clown " + t for t in base[:30] if t], "my token = abcdef123456 here", "the end"]
+    toxic = [i for i, t in enumerate(texts) if t and "idiot" in t]
+    folder = fresh_path(spark, "corpus")
+    spark.createDataFrame([(i, int(i in toxic)) for i in range(len(texts))], "doc_id long, toxic int").write.parquet(f"{folder}/labels.parquet")
+    df = docs(spark, texts, sources={1: "other", 2: None}).withColumns({"score": F.lit("own"), "slot": F.lit("own"), "found": F.lit(1)})
+    df.write.parquet(f"{folder}/documents.parquet")
+    now = spark.read.parquet(f"{folder}/documents.parquet")
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, now, folder)
+        if name != "packing":
+            assert out.dtypes == df.dtypes
+            kept[name] = {r.doc_id: r for r in out.collect()}
+            path = fresh_path(spark, name)
+            out.write.parquet(path)
+            now = spark.read.parquet(path)
+    assert set(range(len(texts))) - set(kept["toxicity"]) == set(toxic)
+    want = brute_links([(i, texts[i]) for i in kept["toxicity"]], corpus_pipeline.NEAR)
+    assert set(kept["near_copies"]) == {i for i, (_, c) in want.items() if i == c}
+    secret = kept["secrets"][len(texts) - 2]
+    assert secret.text == "my [SECRET] here" and secret.n_chars == 16
+    assert set(kept["mixture"]) == set(kept["secrets"]) == set(kept["near_copies"])
+    assert {r.doc_id for r in out.collect()} == set(kept["mixture"])
+    assert corpus_pipeline.run(spark, folder).count() == out.count()
+
+
+def test_stages_on_an_empty_table(spark):
+    folder = fresh_path(spark, "empty")
+    docs(spark, ["x"]).limit(0).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, toxic int").write.parquet(f"{folder}/labels.parquet")
+    assert corpus_pipeline.run(spark, folder).count() == 0
