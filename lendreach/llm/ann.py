@@ -115,7 +115,9 @@ def near_vectors(df: DataFrame, chosen: Column, k: int, key: str = "vec_id", vec
 
     def spread_index(batches):
         for b in batches:
-            keys = index_keys(matrix(b.column("vec")), probing, norm) if len(b) else np.zeros((0, probing.tables), int)
+            if not len(b):
+                continue
+            keys = index_keys(matrix(b.column("vec")), probing, norm)
             for t in range(probing.tables):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(b), t, np.int32)), pa.array((keys[:, t] % parts).astype(np.int32)),

@@ -80,6 +80,10 @@ class BallTree:
         return [(s, -i) for s, i in sorted(best, reverse=True)]
 
 
+def _stacked(rows: list) -> np.ndarray:
+    return np.array(rows, float) if rows else np.zeros((0, 0))
+
+
 def slack(bound: np.ndarray) -> np.ndarray:
     """A bound with room for rounding."""
     return bound + 1e-9 * np.abs(bound) + 1e-6
@@ -104,12 +108,14 @@ def exact_top(df: DataFrame, chosen: Column, k: int, key: str = "vec_id", vector
     n = rows.count()
     shards = max(1, min(MAX_SHARDS, -(-n // SHARD_ROWS)))
     pivots = [r["vec"] for r in groups.select("rep", "vec").orderBy(F.xxhash64("rep"), "rep").limit(shards).collect()]
-    centre = spark.sparkContext.broadcast(np.array(pivots, float).reshape(len(pivots), -1))
+    centre = spark.sparkContext.broadcast(_stacked(pivots))
 
     def deal(batches):
         for b in batches:
+            if not len(b):
+                continue
             c, v = centre.value, matrix(b.column("vec"))
-            near = ((c * c).sum(1)[None, :] - 2 * v @ c.T).argmin(axis=1) if len(b) else np.zeros(0)
+            near = ((c * c).sum(1)[None, :] - 2 * v @ c.T).argmin(axis=1)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(near.astype(np.int32))], ["rep", "vec", "shard"])
 
     dealt = map_arrow(groups.select("rep", "vec"), deal, "rep long, vec array<double>, shard int")
@@ -133,13 +139,15 @@ def exact_top(df: DataFrame, chosen: Column, k: int, key: str = "vec_id", vector
         F.zip_with(p["centre"], "centre", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda a, x: a + x))))
     found = tops.select("shard", "centre", around.alias("radius")).orderBy("shard").collect()
     roots = spark.sparkContext.broadcast((
-        np.array([r["shard"] for r in found], np.int32), np.array([r["centre"] for r in found], float),
+        np.array([r["shard"] for r in found], np.int32), _stacked([r["centre"] for r in found]),
         np.array([r["radius"] for r in found], float)))
 
     def home(batches):
         names, c, _ = roots.value
         for b in batches:
-            at = names[(matrix(b.column("vec")) @ c.T).argmax(axis=1)] if len(b) else np.zeros(0, np.int32)
+            if not len(b):
+                continue
+            at = names[(matrix(b.column("vec")) @ c.T).argmax(axis=1)]
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(at.astype(np.int32)), pa.array(np.full(len(b), -np.inf))],
                 ["qrep", "vec", "shard", "floor"])
