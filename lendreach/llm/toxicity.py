@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lendreach.llm.common import carried, map_arrow
 from lendreach.llm.utf8 import BREAKS, word_blocks
 
-MAX_PER_CLASS = 6_000       # labelled rows of each class that training sees
+MAX_PER_CLASS = 3_000       # labelled rows of each class that training sees
 MAX_TERMS = 4_096           # terms that get weights
 MIN_DOCS = 3                # training documents a term must stand in
 MIN_CHI = 15.0              # chi-square under which a term is taken for noise
@@ -57,19 +57,20 @@ def _raw(m: Machine, at: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return m.bias + _sums(m.linear[at], offs) + 0.5 * (s * s - _sums(v * v, offs)).sum(axis=1)
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, rank: int = 4, epochs: int = 12, rate: float = 0.1,
+def fit(flat: np.ndarray, size: np.ndarray, labels: np.ndarray, rank: int = 4, epochs: int = 12, rate: float = 0.1,
         ridge: float = 3e-4, weight: float = 4.0, seed: int = 7) -> Machine:
     """Adagrad on the logistic loss, rows of label 1 counted ``weight`` times. Terms are kept by chi-square against the label, ties to the lesser hash.
 
-    One class only gives a constant: the smoothed share of label 1.
+    ``flat`` holds the distinct terms of all rows, ``size`` how many each row has. One class only gives a
+    constant: the smoothed share of label 1.
     """
-    n, pos = len(rows), int(labels.sum())
+    n, pos = len(size), int(labels.sum())
     if not n or pos in (0, n):
         share = (pos + 0.5) / (n + 1)
         return Machine(np.zeros(0, np.uint64), float(np.log(share / (1 - share))), np.zeros(0), np.zeros((0, rank)))
-    size = np.array([len(r) for r in rows])
-    flat, doc = np.concatenate(rows), np.repeat(np.arange(n), size)
+    doc = np.repeat(np.arange(n, dtype=np.int32), size)
     terms, inv = np.unique(flat, return_inverse=True)
+    inv = inv.astype(np.int32)
     df = np.bincount(inv, minlength=len(terms))
     hit = np.bincount(inv, weights=labels[doc], minlength=len(terms))
     want = df * pos / n
@@ -126,8 +127,12 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column) -> Machine:
     # at most 2 * MAX_PER_CLASS rows of 12 bytes: a proven bound
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("toxic", "text")
     rows = map_arrow(texts, term_lists, "toxic int, terms binary").toArrow()
-    found = [np.frombuffer(t, np.uint64) for t in rows.column("terms").to_pylist()]
-    return fit(found, np.asarray(rows.column("toxic").to_pylist(), dtype=np.float64))
+    terms = rows.column("terms").cast(pa.large_binary()).combine_chunks()
+    offs = np.frombuffer(terms.buffers()[1], np.int64)[terms.offset:terms.offset + len(terms) + 1]
+    flat = np.frombuffer(terms.buffers()[2], np.uint8)[offs[0]:offs[-1]].view(np.uint64) if len(terms) else \
+        np.zeros(0, np.uint64)
+    return fit(flat, np.diff(offs) // 8 if len(terms) else np.zeros(0, np.int64),
+               np.asarray(rows.column("toxic").to_pylist(), dtype=np.float64))
 
 
 def score(docs: DataFrame, machine: Machine, keep: tuple[str, ...] = ("doc_id",),
