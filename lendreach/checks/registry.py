@@ -13,6 +13,7 @@ from lendreach.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+PLAIN: dict[str, str] = {}      # the SQL without its views, to build on
 
 
 def tidy(df: DataFrame) -> DataFrame:
@@ -29,6 +30,7 @@ def query(name: str, views: str, sql: str):
             return tidy(fn(Views(configure(spark), sf_dir)))
         QUERIES[name] = run
         ORACLES[name] = duck(views, sql)
+        PLAIN[name] = sql
         return fn
     return wrap
 

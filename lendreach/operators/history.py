@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendreach.context import RunContext
+from lendreach.sources.schemas import TABLES
+from lendreach.sources.writers import conform
 
 AUDIT_SCHEMA = T.StructType([
     T.StructField("valuation_date", T.DateType()),
@@ -64,6 +66,15 @@ def map_load(df: DataFrame, mapping: Mapping[str, Column | str | None],
     return df.select(*out)
 
 
+def to_history(lst: DataFrame, ctx: RunContext, target: str, channel: str, list_name: str,
+               frequency: str) -> DataFrame:
+    """A built list as rows of its history table: channel, name, frequency and the instant of the run are
+    added, the columns put in the table's order and types. A column the table does not know fails."""
+    shaped = lst.withColumns({"channel": F.lit(channel), "list_name": F.lit(list_name),
+                              "list_frq": F.lit(frequency), "list_generation_time": ctx.ts()})
+    return conform(shaped, TABLES[target])
+
+
 def with_seed_rows(lst: DataFrame, seeds: DataFrame, fixed: Mapping[str, object]) -> DataFrame:
     """Append internal tester rows: ids -9, texts 'test', own mail and names."""
     sentinel = {"lms_customer_id": -9, "lms_application_id": -9, "loan_sequence": -9,

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from lendreach.functions.text import job_id
 from lendreach.operators.aggregates import balance
-from lendreach.operators.calendar import due_targets, target_date
-from lendreach.operators.joins import with_root_id
+from lendreach.operators.calendar import due_targets, rollover_dates, target_date
+from lendreach.operators.joins import keep_in, with_root_id
 from lendreach.operators.ranking import cycle_number
 from lendreach.plans.common import Rules, eligible, list_rows
 
@@ -34,6 +34,13 @@ def target_rows(run_dates: DataFrame, which: Sequence[str]) -> DataFrame:
             .select("run_date", "t.target", "t.ddr_type").filter("target is not null"))
 
 
+def due_run_dates(cal: DataFrame, holidays: DataFrame, run_dates: DataFrame) -> DataFrame:
+    """The business dates to build lists for: every run date, and the holiday after it on which lists
+    still go out, for which no run takes place."""
+    return (rollover_dates(cal, holidays, run_dates)
+            .select(F.col("business_date").alias("run_date")).distinct())
+
+
 def _due_items(leads: DataFrame, loans: DataFrame, schedules: DataFrame, items: DataFrame,
                targets: DataFrame, rules: Rules, system: str) -> DataFrame:
     due = items.filter(((F.col("status") == "scheduled")
@@ -133,10 +140,12 @@ def list_due_payoff(leads: DataFrame, loans: DataFrame, schedules: DataFrame, it
     """
     df = _due_items(leads.filter(F.col("state").isin(list(states))), loans, schedules, items,
                     target_rows(run_dates, ["third_date"]), rules, system)
-    cycles = cycle_number(items.filter("total_amount > 0"), "payment_schedule_id", "item_date",
+    due = df.select("payment_schedule_id", "base_loan_id")
+    cycles = cycle_number(keep_in(items.filter("total_amount > 0"), due, ["payment_schedule_id"]),
+                          "payment_schedule_id", "item_date",
                           F.col("status").isin(*CYCLE_STATES)).filter("cycle_number = 1")
     df = df.join(cycles, ["payment_schedule_id", "item_date"])
-    owed = balance(txns, "base_loan_id", {"principal_owed": "principal_amount",
+    owed = balance(keep_in(txns, due, ["base_loan_id"]), "base_loan_id", {"principal_owed": "principal_amount",
                                           "fee_owed": "fee_amount"})
     df = (df.join(fees, "base_loan_id", "left").join(owed, "base_loan_id", "left")
           .join(refunds.select("entity_id", "timespan", "refund_percent"),

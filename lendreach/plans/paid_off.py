@@ -11,7 +11,7 @@ from lendreach.context import RunContext
 from lendreach.functions.flags import wait_group
 from lendreach.functions.money import next_limit, recency_group
 from lendreach.functions.text import job_id
-from lendreach.operators.aggregates import balance, union_distinct
+from lendreach.operators.aggregates import balance
 from lendreach.operators.consent import add_phone, add_sms_consent
 from lendreach.operators.joins import (bounded, exclude_cross_system, in_windows, keep_in,
                                        with_root_id)
@@ -146,7 +146,8 @@ def good_customers(leads: DataFrame, legacy_last: DataFrame, last: DataFrame, ra
 
     def system_rows(code: str, dates: DataFrame) -> DataFrame:
         return base.filter(F.col("lms_code") == code).join(dates, "lms_application_id")
-    both = union_distinct(system_rows(legacy, legacy_last), system_rows(system, last))
+    # the systems are disjoint; the list itself drops repeats
+    both = system_rows(legacy, legacy_last).unionByName(system_rows(system, last))
     both = both.filter(F.col("last_payment_date") <= ctx.date())
     both = exclude_reactivated(both, leads, ["lms_customer_id", "lms_code"],
                                F.col("last_payment_date"), BAD_GOOD_CUSTOMER)

@@ -106,8 +106,9 @@ def list_winback(leads: DataFrame, caps: DataFrame, consent: DataFrame, customer
                         .otherwise("Group2")))
     base = weekday_rota(base, rota, "run_date", "group_filter", "state")
     base = base.join(caps, "state", "left")
-    base = add_phone(base, customers, "lms_customer_id", rules.placeholders)
-    base = add_sms_consent(base, consent)
+    few = base.select(F.col("lms_customer_id").alias("customer_id")).distinct()
+    base = add_phone(base, customers.join(few, "customer_id", "left_semi"), "lms_customer_id", rules.placeholders)
+    base = add_sms_consent(base, consent.join(few, "customer_id", "left_semi"))
     return list_rows(base, module, "run_date", system_job(rules, F.col("run_date")), [
         "approved_amount", F.col("maximum_limit_by_state").alias("max_loan_limit"),
         "withdrawn_reason", "withdrawn_time", "cell_phone", "is_transactional_optin",

@@ -5,15 +5,20 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 _TYPES = {"s": T.StringType(), "l": T.LongType(), "i": T.IntegerType(), "d": T.DateType(),
-          "t": T.TimestampNTZType(), "m": T.DecimalType(18, 2)}
+          "t": T.TimestampNTZType(), "m": T.DecimalType(18, 2), "f": T.DoubleType()}
 
 
 def _schema(spec: str) -> T.StructType:
-    """``name:t`` items, where t is s, l, i, d, t (timestamp) or m (money)."""
+    """``name:t`` items, where t is s, l, i, d, t (timestamp), m (money) or f (ratio)."""
     return T.StructType([T.StructField(n, _TYPES[t])
                          for n, t in (x.split(":") for x in spec.split())])
 
 
+# what every list history holds
+_LIST = ("business_date:d channel:s list_name:s job_id:s list_module:s list_frq:s lms_customer_id:l "
+         "lms_application_id:l received_time:t lms_code:s state:s product:s loan_sequence:i email:s "
+         "customer_firstname:s customer_lastname:s list_generation_time:t")
+
 TABLES = {
     "leads_accepted": _schema(
         "lms_code:s lms_customer_id:l lms_application_id:l lead_sequence_id:l original_lead_id:l "
@@ -83,7 +88,27 @@ TABLES = {
         "loan_sequence:i email:s customer_firstname:s customer_lastname:s requested_amount:m "
         "approved_amount:m max_loan_limit:m ach_date:d ach_debit:m list_generation_time:t "
         "ddr_type:s last_repayment_date:d withdrawn_time:t is_transactional_optin:i "
-        "is_sms_marketing_optin:i home_phone:s cell_phone:s extra1:i key_word:s comments:s"),
+        "is_sms_marketing_optin:i home_phone:s cell_phone:s extra1:i key_word:s comments:s "
+        "origination_time:t origination_loan_id:l original_loan_amount:m ach_finance:m ach_principal:m "
+        "ach_interest:m original_fee:m number_of_installment:i rebate_amount:m fee_outstanding:m pif_amount:m "
+        "next_loan_limit:m withdrawn_reason:s created_date:t hour_received:i promo_code:s dm_expire_date:d"),
+    "campaign_history_monthly": _schema(
+        f"{_LIST} requested_amount:m approved_amount:m max_loan_limit:m last_payment_date:d "
+        "days_since_paid_off:i gc_group:s wait_group:s min_amt:m hardcap:m cell_phone:s next_loan_limit:m "
+        "is_transactional_optin:i is_sms_marketing_optin:i comments:s"),
+    "campaign_history_loc": _schema(
+        f"{_LIST} requested_amount:m approved_amount:m credit_limit:m outstanding_balance:m "
+        "available_credit_limit:m principal:m last_payment_date:d cell_phone:s is_transactional_optin:i "
+        "is_sms_marketing_optin:i comments:s run_date:d first_name:s pay_frequency:s loan_status:s "
+        "origination_date:d origination_loan_id:l total_draw_amount:m total_draw_count:l default_count:l "
+        "collection_count:l total_balance:m principal_balance:m fee_balance:m max_loan_limit:m avail_credit_rate:f "
+        "available_credit_range:s day_since_last_payment:i day_since_last_topup:i total_prin_paid:m last_draw_date:d "
+        "total_default_count:l total_payment_count:l days_since_last_draw:i days_since_last_payment:i"),
+    "campaign_history_esig": _schema(
+        f"{_LIST} requested_amount:m approved_amount:m max_loan_limit:m is_dm:i is_originated:i "
+        "todo_item_cnt:i incomplete_cnt:i is_esig_incomplete:i cell_phone:s is_transactional_optin:i "
+        "is_sms_marketing_optin:i esig_wf:i bv_wf:i spouse_wf:i tnc_wf:i other_wf:i ref_wf:i emp_wf:i "
+        "paystub_wf:i sms_consent:i no_bank_call:i routing_changed:i account_changed:i bv_final:s comments:s"),
     "campaign_list_test_email": _schema(
         "email_address:s first_name:s last_name:s request_loan_amount:m approved_amount:m "
         "comments:s is_active:i"),
