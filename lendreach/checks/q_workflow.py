@@ -44,11 +44,6 @@ def _rows_sql():
 VIEWS = f"leads rates cal days loans transactions seeds {CONSENT_VIEWS}"
 
 
-@query("S15_list_chain", VIEWS, _rows_sql())
-def _(v):
-    return _written(v).select(KEPT)
-
-
 @query("L29_due_on_holidays", "leads items schedules loans cal holidays", PLAIN["L01_list_due_instalment"].replace(
     "WITH runs AS (", """WITH base AS (""", 1).replace("), tgt AS", """), runs AS (SELECT run_date FROM base UNION
   SELECT n FROM (SELECT run_date, (SELECT min(ori_date) FROM cal WHERE ori_date > run_date AND weekend = 0) AS n FROM base) z
