@@ -5,11 +5,13 @@ import collections
 import hashlib
 import io
 import itertools
+import math
 import random
 import re
 import struct
 import zipfile
 import zlib
+from fractions import Fraction
 
 import duckdb
 import numpy as np
@@ -590,6 +592,32 @@ def test_mixture_keeps_every_row_and_its_targets(spark):
         mixing.mix_sources(df, "source", "doc_id", {"hot": 0})
 
 
+@pytest.mark.parametrize("weights", [{"a": 0.999, "b": 0.001}, {f"s{i}": 0.3 if i == 0 else 0.7 / 9 for i in range(10)},
+                                     {f"s{i:03}": 1 if i else 501 for i in range(500)}])
+def test_lag_against_the_raw_weights_stays_under_one_block(weights):
+    shares = {s: Fraction(str(w)) for s, w in weights.items()}
+    total, n = sum(shares.values()), 4_000
+    seen = collections.Counter()
+    for slot, (s, block, phase, release, deadline, at) in enumerate(
+            itertools.islice(mixing.schedule(dict.fromkeys(weights, 10**9), weights), n)):
+        w = shares[s] / total
+        assert (phase, at, block) == (0, slot, seen[s])
+        assert release == math.floor(block / w) <= at < deadline == math.ceil((block + 1) / w)
+        seen[s] += 1
+        if slot % 97 == 0 or slot == n - 1:
+            assert all(abs(seen[x] - v / total * (slot + 1)) < 1 for x, v in shares.items())
+
+
+def test_mixture_of_default_and_given_weights_and_of_many_sources(spark):
+    df = spark.range(2_100).select(F.col("id").alias("doc_id"), F.format_string("s%04d", "id").alias("source"))
+    got = mixing.mix_sources(df, "source", "doc_id").collect()
+    assert sorted(r.slot for r in got) == list(range(2_100)) and len({r.source for r in got}) == 2_100
+    df = spark.range(3_003).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 3, "b").otherwise("a").alias("source"))
+    got = mixing.mix_sources(df, "source", "doc_id", {"a": 0.999, "b": 0.001}, block_rows=1).collect()
+    slots = sorted(r.slot for r in got if r.source == "b" and r.phase == 0)
+    assert all(abs(sum(x < t for x in slots) - t / 1000) < 1 for t in range(1, 2_001))
+
+
 # ---- the pipeline ----------------------------------------------------------------------------------
 
 def test_stages_keep_columns_and_do_their_work(spark):
