@@ -71,17 +71,18 @@ class Ids:
     """Token ids of a byte-level BPE vocabulary file.
 
     Merges run in tiktoken when the file's merge order is its id order, which gives the same ids at three
-    times the speed; other files, and texts with very long blank runs, go through ``tokenizers``.
+    times the speed; other files, and texts with very long blank runs or with the literal of an added token,
+    go through ``tokenizers`` as the file sets it up.
     """
 
     def __init__(self, vocabulary: str):
         import tiktoken
         from tokenizers import Tokenizer
         self.slow = Tokenizer.from_file(vocabulary)
-        self.slow.encode_special_tokens = True
         with open(vocabulary, encoding="utf-8") as f:
             data = json.load(f)
         vocab, special = data["model"]["vocab"], {t["content"] for t in data.get("added_tokens", ())}
+        self.added = re.compile("|".join(map(re.escape, sorted(special)))) if special else None
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         shown = {chr(b): b for b in plain} | {
             chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(plain))}
@@ -94,7 +95,7 @@ class Ids:
             self.fast = tiktoken.Encoding("plain", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> list[int]:
-        if self.fast is None or LONG_BLANK.search(text):
+        if self.fast is None or LONG_BLANK.search(text) or self.added and self.added.search(text):
             return self.slow.encode(text, add_special_tokens=False).ids
         return self.fast.encode_ordinary(text)
 

@@ -19,6 +19,7 @@ import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from lendreach.checks.verify import compare
@@ -303,6 +304,13 @@ def test_fast_ids_equal_the_tokenizer():
     assert ids.encode("x" + " " * 6000 + "y") == ids.slow.encode("x" + " " * 6000 + "y", add_special_tokens=False).ids
 
 
+def test_ids_are_those_of_the_untouched_tokenizer():
+    whole, ids = Tokenizer.from_file(VOCABULARY), packing.ids_of(VOCABULARY)
+    for t in ["say <|endoftext|> x", "<|endoftext|>", "a<|endoftext|><|endoftext|> b", "<|endoftext| > x", "plain"]:
+        assert ids.encode(t) == whole.encode(t, add_special_tokens=False).ids, t
+    assert ids.encode("say <|endoftext|> x") == [16706, 220, 50256, 2124]
+
+
 def test_packed_pieces_hold_every_id_once(spark):
     rnd = random.Random(5)
     texts = [None, "", "hello world", "hello world"] + [" ".join(rnd.choice(["alpha", "béta", "gamma", "\n"]) for _ in range(rnd.randint(1, 900)))
