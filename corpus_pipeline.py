@@ -22,6 +22,8 @@ TOXIC_AT = 0.7
 NEAR = Rule(words=5, num=80, den=100)
 MARK = "[SECRET]"
 VOCABULARY = "byte_bpe_50k.json"
+WEIGHTS = None      # target shares of documents by source; None: square roots of the sources' sizes
+WINDOW = 128        # slots of the mixture, of 8 documents each, within which packing orders by the curve
 
 
 def unclashed(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
@@ -69,17 +71,23 @@ def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, in files whose rows follow the mixture of sources (square roots of their sizes)."""
+    """Every document, in files whose rows follow the mixture of sources by ``WEIGHTS``."""
     rows, names = unclashed(docs)
-    placed = mix_sources(rows, names["source"], names["doc_id"])
+    placed = mix_sources(rows, names["source"], names["doc_id"], WEIGHTS)
     parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     return restored(placed.repartitionByRange(parts, "slot", "in_block").sortWithinPartitions("slot", "in_block"),
                     names)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token ids, laid into sequences of 1024 along the curve."""
-    return pack_documents(docs, public_tokenizers.path(VOCABULARY))
+    """Pieces of token ids in sequences of 1024, by window of the mixture and along the curve within it.
+
+    Files keep no order that a reader can rely on, so the mixture is worked out again from the same rows: by
+    sequence_id, every window of ``WINDOW`` slots holds its sources' shares to less than one block.
+    """
+    placed = mix_sources(docs.select("doc_id", "source", "text"), "source", "doc_id", WEIGHTS)
+    return pack_documents(placed.withColumn("window", F.floor(F.col("slot") / WINDOW)),
+                          public_tokenizers.path(VOCABULARY), window="window")
 
 
 STAGES = [("toxicity", drop_toxic), ("near_copies", drop_near_copies), ("secrets", hide_secrets), ("mixture", mix),

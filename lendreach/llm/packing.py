@@ -140,24 +140,30 @@ def fill(docs, room: int):
 SCHEMA = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, room: int = 1024, part_bytes: int = PART_BYTES) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str, room: int = 1024, part_bytes: int = PART_BYTES,
+                   window: str | None = None) -> DataFrame:
     """Pieces of all documents, laid into sequences of at most ``room`` ids along a Hilbert curve.
 
     A document's ids are those of its whole text (null: empty) and an end id 0. Documents are range-partitioned
     by (curve key, doc_id): ties and copies stand by their id, and a key that many share is split between
     ranges. Each range is one stream of ids, cut where a sequence is full; only its end has shorter sequences,
-    of power-of-two lengths. ``sequence_id`` is the range's number and a counter; ``ids`` holds the piece's
+    of power-of-two lengths. With ``window``, the name of a whole-number column, documents stand by it first, and
+    the curve orders those of one window: sequences follow the windows. ``sequence_id`` is the range's number and a counter; ``ids`` holds the piece's
     ids as little-endian unsigned 32-bit integers. Repeated ids are documents of their own. An empty table
     gives no piece.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows, schema = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id long, text string"
+    order = ["curve", "doc_id"]
+    if window:
+        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col(window).cast("long").alias("window"))
+        order, schema = ["window", *order], schema + ", window long"
     size = rows.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1)).first()[0] or 0
     parts = min(MAX_PARTS, max(1, -(-size // part_bytes)))
 
     def keyed(batches):
         for b in batches:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(curve_keys(b.column("text")))],
-                                             ["doc_id", "text", "curve"])
+                                             [*b.schema.names, "curve"])
 
     def cut(batches):
         first = TaskContext.get().partitionId() << 32
@@ -180,8 +186,8 @@ def pack_documents(docs: DataFrame, vocabulary: str, room: int = 1024, part_byte
         if out:
             yield _batch(out)
 
-    ranged = (map_arrow(rows, keyed, "doc_id long, text string, curve long")
-              .repartitionByRange(parts, "curve", "doc_id").sortWithinPartitions("curve", "doc_id", "text"))
+    ranged = (map_arrow(rows, keyed, schema + ", curve long")
+              .repartitionByRange(parts, *order).sortWithinPartitions(*order, "text"))
     return map_arrow(ranged.select("doc_id", "text"), cut, SCHEMA)
 
 

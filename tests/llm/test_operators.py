@@ -656,6 +656,20 @@ def test_stages_keep_columns_and_do_their_work(spark):
     assert corpus_pipeline.run(spark, folder).count() == out.count()
 
 
+def test_packed_sequences_follow_the_mixture(spark, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "WEIGHTS", {"a": 3, "b": 1})
+    monkeypatch.setattr(corpus_pipeline, "WINDOW", 8)
+    df = docs(spark, [f"{'alpha beta' if i % 2 else 'gamma delta'} number {i}" for i in range(1_024)],
+              sources={i: "a" if i % 2 else "b" for i in range(1_024)})
+    out = corpus_pipeline.pack(spark, corpus_pipeline.mix(spark, df, ""), "").collect()
+    order = [r.doc_id for r in sorted(out, key=lambda r: (r.sequence_id, r.offset)) if r.start == 0]
+    assert sorted(order) == list(range(1_024))
+    blocks = 64 * 4 // 3        # slots until the blocks of a run out
+    for windows in range(1, blocks // 8):
+        part = order[:windows * 64]
+        assert abs(sum(i % 2 for i in part) - len(part) * 3 / 4) < 8, windows
+
+
 def test_stages_on_an_empty_table(spark):
     folder = fresh_path(spark, "empty")
     docs(spark, ["x"]).limit(0).write.parquet(f"{folder}/documents.parquet")
