@@ -25,6 +25,10 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 SENSITIVE = re.compile(r"(?i)auth|bearer|credential|key|passw|passphrase|private|pwd|secret|signature|token|login")
 AROUND = 256            # code points before and after a candidate that prime the compressor
 NEAR = 48               # code points before it in which the sensitive word must stand
+#: what may stand between the candidates of one run, as the lines of a key do
+JOINT = re.compile(r"(?:\\[nr]|[\s\"'`,;+\\>#*|]){1,64}")
+#: the last line of a key, of whatever length
+LAST = re.compile(JOINT.pattern + r"([A-Za-z0-9+/=]+)" + JOINT.pattern + r"-----END")
 LEAST_BITS = 3.6        # marginal compressed bits a character from which a candidate is reported
 #: identifiers that code is full of; they and the text around prime the compressor
 IDENTIFIERS = (
@@ -59,7 +63,7 @@ def find_secrets(text: str | None, novelty: Novelty) -> list[tuple[int, int, str
 
     Patterns are matched leftmost and without overlap within their kind; failing matches (assigned values
     under 6 characters, access keys under 20) are dropped after they have used up their text. Novel spans
-    touch no other span. A null text is empty.
+    touch no other span; the sensitive word before a candidate holds for all that adjoin it. A null text is empty.
     """
     if not text:
         return []
@@ -69,18 +73,29 @@ def find_secrets(text: str | None, novelty: Novelty) -> list[tuple[int, int, str
     spans += [(m.start(), m.end(), 2) for m in HEX.finditer(text)]
     spans.sort(key=lambda s: (s[0], s[2]))
     extra, i, reach = [], 0, 0
+    end, sensitive = -1, False      # of the run of adjoining candidates so far
     for m in CANDIDATE.finditer(text):
         while i < len(spans) and spans[i][0] < m.end():
             reach = max(reach, spans[i][1])
             i += 1
         word = m[0]
-        if reach > m.start() or not any(c.isdigit() for c in word) or not any(c.isalpha() for c in word):
+        near = SENSITIVE.search(text[max(0, m.start() - NEAR):m.start()])
+        joined = end >= 0 and JOINT.fullmatch(text, end, m.start())
+        sensitive, end = bool(near or joined and sensitive), m.end()
+        if reach > m.start() or not sensitive:
             continue
-        before = text[max(0, m.start() - AROUND):m.start()]
-        if not SENSITIVE.search(before[-NEAR:]):
+        if not any(c.isdigit() for c in word) or not any(c.isalpha() for c in word):
             continue
-        if novelty.bits(before + text[m.end():m.end() + AROUND], word) >= LEAST_BITS:
+        # copies of the candidate around it, cut ones too, would make it look known
+        wide = AROUND + len(word)
+        around = (text[max(0, m.start() - wide):m.start()].replace(word, " ")[-AROUND:]
+                  + text[end:end + wide].replace(word, " ")[:AROUND])
+        if novelty.bits(around, word) >= LEAST_BITS:
             extra.append((m.start(), m.end(), 3))
+            last = LAST.match(text, end)
+            if last and not any(a < last.end(1) and z > last.start(1) for a, z, _ in spans):
+                extra.append((*last.span(1), 3))
+                reach = max(reach, last.end(1))
     if extra:
         spans = sorted(spans + extra, key=lambda s: (s[0], s[2]))
     return [(a, z, KINDS[k]) for a, z, k in spans]
