@@ -80,3 +80,30 @@ def jaccard(words: int, num: int, den: int) -> str:
     SELECT reach.doc_id, near.y FROM reach JOIN near ON reach.r = near.x)
 SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r) AS component_id
 FROM s JOIN reach USING (doc_id) GROUP BY s.doc_id, s.s"""
+
+
+def negatives(every: int, positives: int, most: int, scale: int = 256) -> str:
+    return f"""WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)) AS e FROM embeddings WHERE label IS NOT NULL
+    AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  s AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_dot_product(a.e, c.e)::BIGINT AS score
+    FROM v a JOIN v c ON a.vec_id % {every} = 0 AND a.vec_id <> c.vec_id),
+  p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {positives})
+SELECT anchor_id, positive_id, (row_number() OVER w)::INT AS rank, vec_id AS negative_id, positive_score,
+  score AS negative_score FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= {most}"""
+
+
+def chats(control: str) -> str:
+    """Template: <turn ROLE>TEXT</turn> and a line feed; a backslash goes before what could be read as control."""
+    body = "replace(replace(replace(text, '\\', '\\\\'), '</turn', '\\</turn'), '<turn', '\\<turn')"
+    head = "length(role) + length(role) - length(translate(role, '\\<>', ''))"
+    return f"""WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '{control}' UNION ALL SELECT -7, 1, 'assistant', '{control}')
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn)) AS loss_sha256,
+  sum({len('<turn >') + len('</turn>') + 1} + {head} + length({body}))::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id"""

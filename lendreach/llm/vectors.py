@@ -9,6 +9,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+def finite(df: DataFrame, key: str, vector: str, *more: Column) -> DataFrame:
+    """(id, vec double, more) of the rows whose vector is neither null nor empty and holds nothing null or non-finite."""
+    return df.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vec"), *more).filter(
+        "vec is not null and size(vec) > 0 and "
+        "forall(vec, x -> x is not null and not isnan(x) and abs(x) < double('Infinity'))")
+
+
 def usable(df: DataFrame, key: str, vector: str) -> DataFrame:
     """(id, vec double) of the rows that take part: an id, a vector of the commonest length (ties: the longer),
     and nothing null or non-finite in it."""
