@@ -49,6 +49,15 @@ def _(v):
         .alias("rejected_users"))
 
 
+@query("A04_bitmap_counts", "visits", """SELECT session_id, count(DISTINCT lms_customer_id) AS users,
+  count(DISTINCT CASE WHEN page = 'reject' THEN lms_customer_id END) AS rejected_users FROM visits GROUP BY 1""")
+def _(v):
+    ids = aggregates.dense_ids(v.visits, "lms_customer_id")
+    states = aggregates.distinct_bitmaps(v.visits.join(ids, "lms_customer_id"), "dense_id", ["session_id"], {
+        "users": F.lit(True), "rejected_users": F.col("page") == "reject"})
+    return aggregates.bitmap_counts(states, ["session_id"], ["users", "rejected_users"])
+
+
 @query("A05_pick_one", "dm_log", """SELECT promo_code, email, log_id, validation_date FROM (SELECT *, row_number() OVER (PARTITION BY promo_code
   ORDER BY create_datetime, log_id) AS rn FROM dm_log) z WHERE rn = 1""")
 def _(v):

@@ -1,5 +1,7 @@
 """Join operators over whole tables."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from lendreach.checks.common import MAX_LIMIT, USABLE, VARIANT
@@ -74,6 +76,20 @@ def _(v):
         "lead_sequence_id", "affid", "insert_date", "mapping_id", "dm_name")
 
 
+PATTERNS = ("%00001%", "A_TO%", "%L_00%7", "MACH%", " hous%9 ", "%", "b", "BUIL0000010", "%zz%", "_UIL%")
+
+
+@query("J06_pattern_index", "application", "WITH m AS (SELECT * FROM (VALUES " + ", ".join(
+    f"({i}, '{p}', DATE '1995-01-01' + {i * 90}, DATE '1997-06-30' + {i * 60})" for i, p in enumerate(PATTERNS)) + """) AS t(mapping_id, pattern, start_date, expire_date))
+  SELECT lead_sequence_id, affid, insert_date, mapping_id FROM application JOIN m ON lower(affid) LIKE lower(trim(pattern)) AND CAST(insert_date AS DATE) BETWEEN start_date - 5 AND expire_date""")
+def _(v):
+    dim = v.spark.createDataFrame([(i, p, dt.date(1995, 1, 1) + dt.timedelta(i * 90), dt.date(1997, 6, 30) + dt.timedelta(i * 60))
+                                   for i, p in enumerate(PATTERNS)], "mapping_id int, pattern string, start_date date, expire_date date")
+    return joins.pattern_index_join(v.application.select("lead_sequence_id", "affid", "insert_date"), dim, "affid", "pattern",
+                                    "mapping_id", F.to_date("insert_date"), "start_date", "expire_date", 5).select(
+        "lead_sequence_id", "affid", "insert_date", "mapping_id")
+
+
 @query("J07_first_match", "application mail_map", f"""SELECT a.lead_sequence_id, m.dm_name FROM application a LEFT JOIN (
   SELECT lead_sequence_id, dm_name FROM (SELECT lead_sequence_id, dm_name, row_number() OVER (PARTITION BY lead_sequence_id
   ORDER BY start_date, mapping_id) AS rn FROM application JOIN mail_map ON {PATTERN}) z WHERE rn = 1) m

@@ -18,6 +18,7 @@ from lendreach.operators import calendar as cal_ops
 from lendreach.operators.limits import limit_by_state
 from lendreach.plans import abandoned as ab
 from lendreach.plans import credit_line, due, paid_off, pending, service, withdrawn
+from lendreach.session import fresh_path
 
 # ---- due reminders ---------------------------------------------------------------------------
 
@@ -473,11 +474,28 @@ def at_run(sql):
     return re.sub(r"FROM tracking\b", f"FROM (SELECT * FROM tracking WHERE event_ts <= {TS}) tracking", sql)
 
 
-@query("L21_list_abandoned_hourly", AB_VIEWS, at_run(f"WITH {gone('''DATE '1998-01-17' ''')}, {OFFER} {gone_rows('ACH')} WHERE dropoff_time BETWEEN {TS} - INTERVAL 105 MINUTE AND {TS} - INTERVAL 45 MINUTE"))
+ORACLE_21 = at_run(f"WITH {gone('''DATE '1998-01-17' ''')}, {OFFER} {gone_rows('ACH')} WHERE dropoff_time BETWEEN {TS} - INTERVAL 105 MINUTE AND {TS} - INTERVAL 45 MINUTE")
+
+
+@query("L21_list_abandoned_hourly", AB_VIEWS, ORACLE_21)
 def _(v):
     return ab.list_abandoned_hourly(left(v, dt.date(1998, 1, 17)), offers(v), EVENT_CTX)
 
 
+@query("L21_from_daily_activity", AB_VIEWS, ORACLE_21)
+def _(v):
+    """Days before the run are stored once; the hourly run reads its own day alone, and can be repeated."""
+    events = v.tracking.filter(F.col("event_ts") <= EVENT_CTX.ts())
+    days = ab.DailyActivity(v.spark, fresh_path(v.spark, "daily-activity"))
+    days.refresh(events, dt.date(1997, 12, 25), dt.date(1998, 1, 19), ("internal.example.com",))
+    for _ in range(2):
+        days.refresh(events, dt.date(1998, 1, 20), dt.date(1998, 1, 20), ("internal.example.com",))
+    seen = days.last_activity(v.user_info, dt.date(1998, 1, 17), dt.date(1998, 1, 20), dt.date(1997, 11, 20))
+    leads = v.leads0.filter("lms_code = 'LOC' and application_status = 'originated'")
+    seen = ab.unaccepted(seen, leads, [f"NATION_{n}" for n in range(25) if n != 9])
+    return ab.list_abandoned_hourly(seen, offers(v), EVENT_CTX)
+
+
 @query("L22_list_abandoned_daily_aged", AB_VIEWS, at_run(f"""WITH {gone('''DATE '1998-01-17' ''')}, {OFFER} {gone_rows('ACD')} WHERE dropoff_time BETWEEN TIMESTAMP '1998-01-19 00:00:00' AND TIMESTAMP '1998-01-20 00:00:00'""")
        + " UNION ALL SELECT *, NULL, 0, NULL, NULL FROM (" + at_run(f"WITH {gone('''DATE '1997-12-20' ''', False, False)} {gone_rows('ACB', False)} WHERE dropoff_time <= TIMESTAMP '1998-01-18 00:00:00'") + ") aged")
 def _(v):

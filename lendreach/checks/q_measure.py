@@ -13,6 +13,8 @@ from lendreach.checks.views import FIRST_DAY, PLACEHOLDERS
 from lendreach.context import RunContext
 from lendreach.operators.ranking import draw_sequence
 from lendreach.plans import facts, funnel, measure, paid_off
+from lendreach.plans.refresh import StoredFact
+from lendreach.session import cut_lineage, fresh_path
 
 ID = "lms_application_id"
 WEB_PAGES = ("create_password_submit", "welcome", "account_terms", "account_terms_submit", "payment_schedule_submit",
@@ -23,13 +25,52 @@ def fpd(v):
     return facts.first_payment_default(v.leads0, v.schedules, v.items)
 
 
-# one day after the others' shift, so that leads and events meet in the same month
-@query("N01_funnel_internal", "visits", f"""SELECT lms_customer_id, {', '.join(f"max(CASE WHEN page = '{p}' THEN 1 ELSE 0 END) AS {funnel.flag_name(p)}" for p in funnel.INTERNAL_PAGES)},
-  max(CASE WHEN page = 'reject' THEN 1 ELSE 0 END) AS reject, 0 AS is_rollback, count(*) AS events, max(CASE WHEN page = 'reject' THEN 1 ELSE 0 END) AS reject_before_offer, 0 AS reject_after_bank
-  FROM visits WHERE event_ts >= TIMESTAMP '1998-01-08 00:00:00' AND lms_customer_id IN (SELECT lms_customer_id FROM visits WHERE page = 'create_password_submit' AND event_ts >= TIMESTAMP '1998-01-08 00:00:00') GROUP BY 1""")
+SINCE = dt.datetime(1998, 1, 8)
+VISITS_LEAD = """vl AS (SELECT visits.*, lead_received FROM visits LEFT JOIN (SELECT lms_customer_id AS lk, max(received_time) AS lead_received FROM leads0
+  WHERE received_time < TIMESTAMP '1998-02-01 00:00:00' GROUP BY 1) l ON lk = lms_customer_id)"""
+
+
+def began(offer, identity, bank):
+    """Page flags and reject positions; the page names of the steps vary with the brand."""
+    any_ = lambda c: f"max(CASE WHEN {c} THEN 1 ELSE 0 END)"
+    seen = {n: any_(f"page = '{p}'") for n, p in (("o", offer), ("i", identity), ("b", bank))}
+    return f"""WITH {VISITS_LEAD} SELECT lms_customer_id, {', '.join(f"{any_(f"page = '{p}'")} AS {funnel.flag_name(p)}" for p in funnel.INTERNAL_PAGES)},
+  {any_("page = 'reject'")} AS reject, 0 AS is_rollback, count(*) AS events, CASE WHEN {any_("page = 'reject'")} = 1 AND {seen["o"]} = 0 THEN 1 ELSE 0 END AS reject_before_offer,
+  CASE WHEN {any_("page = 'reject'")} = 1 AND {seen["o"]} = 1 AND {seen["i"]} = 0 THEN 1 ELSE 0 END AS reject_after_offer,
+  CASE WHEN {any_("page = 'reject' AND lead_received <= event_ts")} = 1 AND {seen["b"]} = 1 THEN 1 ELSE 0 END AS reject_after_lead
+  FROM vl WHERE event_ts >= TIMESTAMP '{SINCE}' AND lms_customer_id IN (SELECT lms_customer_id FROM visits WHERE page = 'create_password_submit' AND event_ts >= TIMESTAMP '{SINCE}') GROUP BY 1"""
+
+
+def visits_lead(v):
+    """Events with the time the customer's latest lead came in."""
+    first = v.leads0.filter(F.col("received_time") < F.lit(dt.datetime(1998, 2, 1)).cast("timestamp_ntz")).groupBy(
+        "lms_customer_id").agg(F.max("received_time").alias("lead_received"))
+    return v.visits.join(first, "lms_customer_id", "left")
+
+
+@query("N01_funnel_internal", "visits leads0", began("pre_approved_submit", "kyc_submit", "banking_info_submit"))
+def _(v):
+    return funnel.funnel_internal(visits_lead(v), "create_password_submit", F.lit(SINCE).cast("timestamp_ntz"),
+                                  key="lms_customer_id", received="lead_received")
+
+
+@query("N01_reject_positions", "visits leads0", began("account_terms_submit", "payment_schedule_submit", "loan_docs_submit-TC"))
+def _(v):
+    return funnel.funnel_internal(visits_lead(v), "create_password_submit", F.lit(SINCE).cast("timestamp_ntz"),
+                                  key="lms_customer_id", received="lead_received", offer="account_terms_submit",
+                                  identity="payment_schedule_submit", bank="loan_docs_submit-TC")
+
+
+ORDERED = ("welcome", "loan_docs-CI", "loan_docs_submit-CI", "account_terms_submit")
+
+
+@query("N01_ordered_steps", "visits", "WITH r AS (SELECT *, row_number() OVER (PARTITION BY lms_customer_id ORDER BY event_ts, id) AS rn FROM visits WHERE page IN "
+       + str(ORDERED) + "), s0 AS (SELECT DISTINCT lms_customer_id, 0::BIGINT AS p0 FROM r)"
+       + "".join(f", s{i} AS (SELECT s.*, (SELECT min(rn) FROM r WHERE r.lms_customer_id = s.lms_customer_id AND page = '{p}' AND rn > s.p{i - 1}) AS p{i} FROM s{i - 1} s)" for i, p in enumerate(ORDERED, 1))
+       + " SELECT lms_customer_id, " + " + ".join(f"CASE WHEN p{i} IS NULL THEN 0 ELSE 1 END" for i in range(1, 5)) + " AS steps_done, "
+       + ", ".join(f"(SELECT event_ts FROM r WHERE r.lms_customer_id = s4.lms_customer_id AND rn = p{i}) AS t_{i}" for i in range(1, 5)) + " FROM s4")
 def _(v):
-    since = F.lit(dt.datetime(1998, 1, 8)).cast("timestamp_ntz")
-    return funnel.funnel_internal(v.visits, "create_password_submit", since, key="lms_customer_id")
+    return funnel.funnel_ordered(v.visits, ORDERED, "lms_customer_id")
 
 
 DOCS = {"NATION_1": ("CI", "TC"), "NATION_2": ("TC",)}
@@ -119,6 +160,32 @@ def _(v):
     return fact(v)
 
 
+def _refreshed(v):
+    """The fact as it was in March 1998, refreshed over a later look-back, double keys and tests cleaned up."""
+    leads = v.leads.select("lms_code", F.col("lms_application_id").alias("original_lead_id"), "isapplicationtest", "isuniqueaccept")
+    now = cut_lineage(fact(v), "fact-now")
+    early = now.filter(F.col("received_time") < F.lit(dt.datetime(1998, 3, 2)).cast("timestamp_ntz")).withColumn(
+        "withdrawn_reason", F.when(F.col("received_time") >= F.lit(dt.datetime(1998, 1, 1)).cast("timestamp_ntz"),
+                                   F.concat("withdrawn_reason", F.lit(" (open)"))).otherwise(F.col("withdrawn_reason")))
+    store = StoredFact(v.spark, fresh_path(v.spark, "fact"), now.schema, ["lms_code", "original_lead_id"], "received_date")
+    late = now.filter(F.col("received_time") >= F.lit(dt.datetime(1997, 12, 1)).cast("timestamp_ntz"))
+    late = late.unionByName(late.filter("original_lead_id % 5 = 0"))        # double keys
+    steps = [store.refresh(early), store.refresh(late), store.refresh(late)]
+    store.purge_tests(leads, ["lms_code", "original_lead_id"])
+    store.purge_doubles(leads, ["lms_code", "original_lead_id"])
+    return store, steps
+
+
+NOW = f"""{FACT}, late AS (SELECT * FROM fact WHERE received_time >= TIMESTAMP '1997-12-01 00:00:00'), unq AS (SELECT lms_application_id AS uid, isuniqueaccept FROM leads0)"""
+
+
+@query("N04_incremental", f"leads items schedules application customer_flat visits mail_map {CONSENT_VIEWS}", f"""WITH {NOW} SELECT fact.* FROM fact JOIN unq ON uid = original_lead_id
+  WHERE NOT (received_time >= TIMESTAMP '1997-12-01 00:00:00' AND original_lead_id % 5 = 0 AND isuniqueaccept <> 1)
+  UNION ALL SELECT late.* FROM late JOIN unq ON uid = original_lead_id WHERE original_lead_id % 5 = 0 AND isuniqueaccept = 1""")
+def _(v):
+    return _refreshed(v)[0].read()
+
+
 @query("N05_web_behaviour", "visits", f"WITH {BEHAVE} SELECT bk AS lms_customer_id, * EXCLUDE (bk) FROM beh")
 def _(v):
     return behaviour(v)
@@ -144,6 +211,14 @@ def _(v):
     return measure.monthly_looks(v.application, v.leads, [0])
 
 
+@query("N07_unique_addresses", "application", """WITH a AS (SELECT *, CAST(year(insert_date) AS INTEGER) AS y, CAST(month(insert_date) AS INTEGER) AS m FROM application WHERE lead_provider_id NOT IN (0))
+  SELECT CASE WHEN grouping(m) = 0 THEN 'month' WHEN grouping(y) = 0 THEN 'year' ELSE 'all' END AS grain, y AS received_year, m AS received_month, count(DISTINCT email) AS unique_email_cnt,
+  count(DISTINCT CASE WHEN uw_cost > 0 OR decision = 'ACCEPT' THEN email END) AS looked_email_cnt, count(DISTINCT CASE WHEN decision = 'ACCEPT' THEN email END) AS accepted_email_cnt,
+  count(DISTINCT CASE WHEN decision <> 'ACCEPT' THEN email END) AS rejected_email_cnt FROM a GROUP BY GROUPING SETS ((y, m), (y), ())""")
+def _(v):
+    return measure.unique_looks(cut_lineage(measure.unique_addresses(v.application, [0]), "address-states"))
+
+
 @query("N08_monthly_originations", "leads", """SELECT CAST(year(received_time) AS INTEGER) AS received_year, CAST(month(received_time) AS INTEGER) AS received_month, CAST(sum(isoriginated) AS BIGINT) AS total_originated, CAST(sum(approved_amount) AS DOUBLE) AS total_origination_amount,
   count(*) FILTER (loan_sequence = 1 AND lead_cost > 1) AS nc_external FROM leads WHERE origination_time IS NOT NULL AND lead_provider_id NOT IN (0) GROUP BY 1, 2""")
 def _(v):

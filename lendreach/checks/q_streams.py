@@ -1,11 +1,14 @@
 """Streams over the events table, run until all input is processed."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from lendreach.checks.registry import query
+from lendreach.context import RunContext
 from lendreach.operators.ranking import pick_one
 from lendreach.session import fresh_path
-from lendreach.streaming import jobs
+from lendreach.streaming import jobs, keyed
 
 
 def _parts(v):
@@ -74,3 +77,55 @@ def _(v):
         return run
     out = v.spark.read.parquet(_restarted(v, build, "stream-lists", write=twice))
     return out.select("event_id", "user_id", "event_type", "business_date")
+
+
+def _clocked(v, parts, instants, build, name):
+    """Run a job over parts that arrive one after the other, each before a tick of the clock; the output path."""
+    src, clock, state, out = (fresh_path(v.spark, f"{name}-{x}") for x in ("src", "clock", "state", "out"))
+    for part, at in zip(parts, instants, strict=True):
+        part.write.mode("append").parquet(src)
+        keyed.tick(v.spark, clock, RunContext(at))
+        events = jobs.read_events(v.spark, src, v.events.schema)
+        jobs.run_available(build(events, keyed.read_ticks(v.spark, clock)), state, out)
+    return out
+
+
+FIRST_RUN, LAST_RUN = dt.datetime(2024, 1, 20, 12), dt.datetime(2024, 3, 1)
+LATE = "event_id % 10 = 3"      # these arrive with the second run, weeks late
+
+
+def _arrivals(v):
+    now = F.col("ts") < F.lit(FIRST_RUN).cast("timestamp_ntz")
+    late = F.expr(LATE)
+    return [v.events.filter(now & ~late), v.events.filter(~now | late)]
+
+
+@query("R01_idle_users", "", f"""WITH a AS (SELECT *, NOT (ts < TIMESTAMP '{FIRST_RUN}' AND NOT {LATE}) AS fresh FROM events),
+  g1 AS (SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 45 MINUTE THEN 0 ELSE 1 END AS b FROM a WHERE NOT fresh WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+  s1 AS (SELECT *, sum(b) OVER (PARTITION BY user_id ORDER BY ts) AS sid FROM g1),
+  r1 AS (SELECT user_id, max(ts) AS dropoff_time, count(*) AS record_cnt, max(event_type IN ('error', 'purchase')) AS closed, min(ts) AS first FROM s1 GROUP BY user_id, sid
+    HAVING max(ts) + INTERVAL 45 MINUTE <= TIMESTAMP '{FIRST_RUN}'),
+  g2 AS (SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 45 MINUTE THEN 0 ELSE 1 END AS b FROM a WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+  s2 AS (SELECT *, sum(b) OVER (PARTITION BY user_id ORDER BY ts) AS sid FROM g2),
+  r2 AS (SELECT user_id, max(ts) AS dropoff_time, count(*) AS record_cnt, min(ts) AS first, max(event_type IN ('error', 'purchase')) AS closed, bool_or(fresh) AS fresh FROM s2 GROUP BY user_id, sid)
+  SELECT user_id, dropoff_time, record_cnt, 1::INT AS report FROM r1 WHERE NOT closed
+  UNION ALL SELECT user_id, dropoff_time, record_cnt, 1 + coalesce((SELECT max(1) FROM r1 WHERE r1.user_id = r2.user_id AND NOT r1.closed AND r1.first >= r2.first AND r1.dropoff_time <= r2.dropoff_time), 0)
+  FROM r2 WHERE NOT closed AND (fresh OR dropoff_time + INTERVAL 45 MINUTE > TIMESTAMP '{FIRST_RUN}')""")
+def _(v):
+    out = _clocked(v, _arrivals(v), [FIRST_RUN, LAST_RUN], lambda e, t: keyed.idle_users(e, t, keep_days=90), "idle")
+    return v.spark.read.parquet(out)
+
+
+@query("R03_contact_limit", "", f"""WITH RECURSIVE s AS (SELECT user_id, event_type, ts, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_type, event_id) AS rn FROM events),
+  run AS (SELECT user_id, 0::BIGINT AS rn, []::STRUCT(t TIMESTAMP, l VARCHAR)[] AS sent, NULL::BIGINT AS event_id, false AS ok FROM (SELECT DISTINCT user_id FROM events)
+    UNION ALL SELECT s.user_id, s.rn, CASE WHEN len(near) < 3 AND len(list_filter(near, lambda x: x.l = s.event_type)) = 0 THEN list_append(near, {{'t': s.ts, 'l': s.event_type}}) ELSE near END,
+      s.event_id, len(near) < 3 AND len(list_filter(near, lambda x: x.l = s.event_type)) = 0
+    FROM (SELECT run.user_id, run.rn, s.ts AS at, list_filter(run.sent, lambda x: s.ts - x.t < INTERVAL 2 DAY) AS near FROM run JOIN s ON s.user_id = run.user_id AND s.rn = run.rn + 1) r
+    JOIN s ON s.user_id = r.user_id AND s.rn = r.rn + 1)
+  SELECT s.user_id, s.event_type, s.ts, s.event_id FROM run JOIN s ON run.event_id = s.event_id AND run.user_id = s.user_id WHERE ok""")
+def _(v):
+    by_hash = [v.events.filter(f"event_id % 3 {op} 1") for op in ("=", "<>")]      # out of order in both runs
+    late = 90 * 1440
+    out = _clocked(v, by_hash, [FIRST_RUN, dt.datetime(2024, 6, 1)], lambda e, t: keyed.contact_limit(
+        e, t, "user_id", "event_type", "ts", "event_id", most=3, period_days=2, late_minutes=late), "limit")
+    return v.spark.read.parquet(out)

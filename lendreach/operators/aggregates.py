@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendreach.functions.money import rate
@@ -53,3 +53,44 @@ def union_distinct(first: DataFrame, *rest: DataFrame) -> DataFrame:
     for df in rest:
         first = first.unionByName(df)
     return first.distinct()
+
+
+ID_BUCKETS = 4_096
+
+
+def dense_ids(df: DataFrame, column: str, out: str = "dense_id", known: DataFrame | None = None) -> DataFrame:
+    """(column, out): every different value, not null, with a number from 1 without gaps.
+
+    Values are ranked inside hash buckets and shifted by the counts of the buckets before, a table of at most
+    ``ID_BUCKETS`` rows, so no task ranks them all. Values in ``known`` (column, out), as an earlier call gave
+    them, keep their numbers and new ones go on behind, so that states stored earlier still add up.
+    """
+    values = df.select(column).filter(F.col(column).isNotNull()).distinct()
+    if known is not None:
+        values = values.join(known, column, "left_anti")
+        last = known.agg(F.coalesce(F.max(out), F.lit(0)).alias("n")).first()["n"]
+        fresh = dense_ids(values, column, out)
+        return known.select(column, out).unionByName(fresh.withColumn(out, F.col(out) + last))
+    values = (values.withColumn("_b", F.pmod(F.xxhash64(column), F.lit(ID_BUCKETS))))
+    before = values.groupBy("_b").count().select("_b", F.coalesce(F.sum("count").over(
+        Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_o"))
+    rank = F.row_number().over(Window.partitionBy("_b").orderBy(column))
+    return values.withColumn("_i", rank).join(before, "_b").select(column, (F.col("_i") + F.col("_o")).alias(out))
+
+
+def distinct_bitmaps(df: DataFrame, number: str, by: Sequence[str], wanted: Mapping[str, Column]) -> DataFrame:
+    """(by, _bucket, names): for each condition a bitmap of the numbers it holds for; partial states of exact
+    distinct counts, all taken in one pass without a row being multiplied, to be stored and merged."""
+    at = F.bitmap_bit_position(F.col(number))
+    return df.filter(F.col(number).isNotNull()).groupBy(*by, F.bitmap_bucket_number(F.col(number)).alias("_bucket")).agg(
+        *[F.bitmap_construct_agg(F.when(c, at)).alias(n) for n, c in wanted.items()])
+
+
+def merge_bitmaps(bitmaps: DataFrame, by: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Partial states of wider groups: bits of the same bucket are put together."""
+    return bitmaps.groupBy(*by, "_bucket").agg(*[F.bitmap_or_agg(n).alias(n) for n in names])
+
+
+def bitmap_counts(bitmaps: DataFrame, by: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Exact distinct counts of the groups ``by`` from the partial states of those or of finer groups."""
+    return merge_bitmaps(bitmaps, by, names).groupBy(*by).agg(*[F.sum(F.bitmap_count(n)).alias(n) for n in names])

@@ -173,6 +173,56 @@ def pattern_range_join(a: DataFrame, dim: DataFrame, code: str, pattern: str, da
     return hit.drop("_key", "_m", "_salt", "_pat", "_from", "_to", "_day")
 
 
+def _grams(text: Column, least: int = 1, most: int = 3) -> Column:
+    """All different runs of ``least`` to ``most`` characters."""
+    n = F.length(text)
+
+    def of(k: int) -> Column:
+        return F.when(n >= k, F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substr(text, i, F.lit(k)))
+                      ).otherwise(F.array().cast("array<string>"))
+    runs = [of(k) for k in range(least, most + 1)]
+    return F.array_distinct(F.concat(*runs))
+
+
+def pattern_index(codes: DataFrame, dim: DataFrame, code: str, pattern: str, key: str) -> DataFrame:
+    """(code, key): which different codes are LIKE which patterns, wherever the wildcards stand.
+
+    Codes and patterns carry marks for their beginning and end; a pattern is looked up through its rarest run of
+    three plain characters (of two or one where it has none of three) among the codes, counted over their index
+    lists, and only the codes in that list are compared. Lists are kept for the runs that some pattern has, and a
+    code is compared with a pattern once. A pattern without a plain character meets every code, as it must.
+    Patterns and codes are compared trimmed (patterns) and in lower case; null ones match nothing.
+    """
+    begin, end = "\x02", "\x03"
+    plain = F.filter(F.split(F.concat(F.lit(begin), F.col("_pat"), F.lit(end)), "[%_]"), lambda x: F.length(x) > 0)
+    pats = (dim.filter(F.col(pattern).isNotNull()).select(F.lower(F.trim(F.col(pattern))).alias("_pat")).distinct()
+            .withColumn("_gram", F.explode(F.array_distinct(F.flatten(F.transform(plain, lambda x: _grams(x)))))))
+    # a backslash changes what the next character means: such patterns meet every code
+    pats = pats.withColumn("_gram", F.when(F.contains("_pat", F.lit("\\")), begin).otherwise(F.col("_gram"))).distinct()
+    words = codes.select(F.col(code).alias("_code")).filter(F.col(code).isNotNull()).distinct()
+    marked = F.concat(F.lit(begin), F.lower("_code"), F.lit(end))
+    wanted = pats.select("_gram").distinct()
+    lists = words.withColumn("_gram", F.explode(_grams(marked))).join(wanted, "_gram", "left_semi")
+    sizes = lists.groupBy("_gram").agg(F.count("*").alias("_n"))
+    # a run that no code has proves that the pattern matches nothing, so the inner join may drop its other runs
+    best = pick_one(pats.join(sizes, "_gram", "left").fillna(0, ["_n"]), ["_pat"],
+                    [F.least(F.length("_gram"), F.lit(3)).desc(), F.col("_n"), F.col("_gram")])
+    hit = lists.join(best.filter("_n > 0").select("_gram", "_pat"), "_gram").filter(F.like(F.lower("_code"), F.col("_pat")))
+    keys = dim.select(F.lower(F.trim(F.col(pattern))).alias("_pat"), key)
+    return hit.select("_code", "_pat").join(keys, "_pat").select(F.col("_code").alias(code), key)
+
+
+def pattern_index_join(a: DataFrame, dim: DataFrame, code: str, pattern: str, key: str, day: Column, start: str,
+                       end: str, pad_before: int = 0, pad_after: int = 0) -> DataFrame:
+    """The rows of :func:`pattern_range_join`, for patterns with wildcards anywhere: each different code meets
+    the patterns once, through their index lists, and rows then join the pairs by code."""
+    pairs = pattern_index(a, dim, code, pattern, key).withColumnRenamed(code, "_code")
+    spans = dim.withColumn("_from", F.date_sub(F.col(start), pad_before)).withColumn("_to", F.date_add(F.col(end), pad_after))
+    pairs = pairs.join(spans, key)
+    return (a.withColumn("_day", day).join(pairs, F.col(code) == F.col("_code"))
+            .filter(F.col("_day").between(F.col("_from"), F.col("_to"))).drop("_day", "_from", "_to", "_code"))
+
+
 def first_match(a: DataFrame, dim: DataFrame, row_keys: Sequence[str], order: Sequence[Column],
                 take: Sequence[str], **kwargs) -> DataFrame:
     """First pattern-range match per row in a declared order; rows without one keep nulls."""

@@ -5,8 +5,9 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lendreach.context import RunContext
 from lendreach.functions.dates import within_days
@@ -14,6 +15,8 @@ from lendreach.functions.flags import flag_any, one
 from lendreach.functions.text import job_id, name_case
 from lendreach.operators.joins import exclude, pattern_range_join
 from lendreach.operators.ranking import current_version, pick_one, resolve_codes
+from lendreach.session import cut_lineage
+from lendreach.sources.stored import StoredTable
 
 
 def last_activity(events: DataFrame, info: DataFrame, since: dt.date,
@@ -34,8 +37,55 @@ def last_activity(events: DataFrame, info: DataFrame, since: dt.date,
         F.count(F.when(recent, F.col("id"))).alias("record_cnt"),
         flag_any((F.col("page") == "reject") | known).alias("_out"))
     seen = seen.filter("_out = 0 and dropoff_time is not null").drop("_out")
+    return seen.join(form_data(info), "user_name", "left")
+
+
+def form_data(info: DataFrame) -> DataFrame:
+    """One row of form data an address: the first by name, state and amount, so that nobody is mailed twice."""
     form = info.select(F.col("email").alias("user_name"), "firstname", "state", "amount")
-    return seen.join(form, "user_name", "left")
+    return pick_one(form, ["user_name"], [F.col("firstname"), F.col("state"), F.col("amount")])
+
+
+ACTIVITY = T.StructType([T.StructField("user_name", T.StringType()), T.StructField("dropoff_time", T.TimestampNTZType()),
+                         T.StructField("record_cnt", T.LongType()), T.StructField("day", T.DateType())])
+BARRED = T.StructType([T.StructField("user_name", T.StringType()), T.StructField("is_rejected", T.IntegerType()),
+                       T.StructField("is_known", T.IntegerType()), T.StructField("day", T.DateType())])
+
+
+class DailyActivity:
+    """Activity per user and day, kept as two stored tables: what users did, and who was rejected or known that day.
+
+    A run reads the events of its own days alone and replaces their partitions; lists merge a few days of small
+    rows, and who is barred comes from a table that holds only such users.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.activity = StoredTable(spark, f"{path}/activity", ACTIVITY, ["day"])
+        self.barred = StoredTable(spark, f"{path}/barred", BARRED, ["day"])
+
+    def refresh(self, events: DataFrame, first: dt.date, last: dt.date, skip_domains: Sequence[str]) -> None:
+        """Work out the days from ``first`` to ``last`` again; the scan is bounded by them."""
+        keep = within_days(F.col("event_ts"), first, last)
+        for d in skip_domains:
+            keep = keep & ~F.lower("user_name").endswith(d.lower())
+        known = F.col("known_id") > 0
+        seen = cut_lineage(events.filter(keep).groupBy("user_name", F.to_date("event_ts").alias("day")).agg(
+            F.max("event_ts").alias("dropoff_time"), F.count("id").alias("record_cnt"),
+            flag_any(F.col("page") == "reject").alias("is_rejected"), flag_any(known).alias("is_known")), "activity")
+        days = [(first + dt.timedelta(days=i),) for i in range((last - first).days + 1)]
+        self.activity.replace(seen, days)
+        self.barred.replace(seen.filter("is_rejected + is_known > 0"), days)
+
+    def last_activity(self, info: DataFrame, since: dt.date, until: dt.date, known_since: dt.date | None = None,
+                      ) -> DataFrame:
+        """The rows of :func:`last_activity` up to a day, from the stored days."""
+        recent = self.activity.read().filter(F.col("day").between(F.lit(since), F.lit(until))).groupBy("user_name").agg(
+            F.max("dropoff_time").alias("dropoff_time"), F.sum("record_cnt").alias("record_cnt"))
+        out = F.col("is_rejected") == 1
+        if known_since is not None:
+            out = out | ((F.col("is_known") == 1) & (F.col("day") >= F.lit(known_since)))
+        gone = self.barred.read().filter((F.col("day") <= F.lit(until)) & out)
+        return exclude(recent, gone, ["user_name"]).join(form_data(info), "user_name", "left")
 
 
 def mail_offers(log: DataFrame, amounts: DataFrame, mapping: DataFrame,
@@ -45,8 +95,7 @@ def mail_offers(log: DataFrame, amounts: DataFrame, mapping: DataFrame,
     The first address to use a code owns it; an address with several codes keeps its last.
     """
     recent = log.filter((F.col("application_status") == 1)
-                        & (F.to_date("create_datetime") >= F.date_sub(ctx.date(), back))
-                        & (F.to_date("create_datetime") <= ctx.date()))
+                        & within_days(F.col("create_datetime"), ctx.run_date - dt.timedelta(days=back), ctx.run_date))
     codes = resolve_codes(recent, "promo_code", "email", "create_datetime", "validation_date",
                           "log_id")
     codes = codes.join(current_version(amounts, ["state"], "id").select("state", "offer"), "state")
@@ -63,7 +112,11 @@ def abandoned(events: DataFrame, info: DataFrame, leads: DataFrame, since: dt.da
               known_since: dt.date | None = None) -> DataFrame:
     """Users who stopped: never rejected, not accepted under that address, and (optionally) not
     known as a customer since a date."""
-    df = last_activity(events, info, since, skip_domains, known_since)
+    return unaccepted(last_activity(events, info, since, skip_domains, known_since), leads, states)
+
+
+def unaccepted(df: DataFrame, leads: DataFrame, states: Sequence[str] | None = None) -> DataFrame:
+    """Users not accepted under that address, in ``states`` where given."""
     df = exclude(df, leads.select(F.col("emailaddress").alias("user_name")), ["user_name"])
     return df if states is None else df.filter(F.col("state").isin(list(states)))
 

@@ -12,7 +12,7 @@ from lendreach.functions.flags import cond_agg
 from lendreach.functions.money import credit_band, rate
 from lendreach.functions.text import name_case
 from lendreach.operators.consent import add_phone, add_sms_consent
-from lendreach.operators.joins import exclude
+from lendreach.operators.joins import exclude, keep_in
 from lendreach.operators.ranking import pick_one
 
 
@@ -96,6 +96,9 @@ def loc_items_summary(leads: DataFrame, items: DataFrame, opted_out: DataFrame,
     st = F.col("status")
     settled = items.filter(st.isin("missed", "return", "cleared", "correction")
                            & (F.col("item_date") <= ctx.date()))
+    # only items of the people left above are summed
+    mine = people.select(F.col("origination_loan_id").alias("payment_schedule_id"))
+    settled = keep_in(settled, mine, ["payment_schedule_id"])
     totals = settled.groupBy(F.col("payment_schedule_id").alias("origination_loan_id")).agg(*cond_agg({
         "total_draw_amount": ("sum", draw & st.isin("cleared", "sent", "correction"),
                               F.col("amount_prin")),

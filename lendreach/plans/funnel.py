@@ -28,26 +28,62 @@ def flag_name(page: str) -> str:
 
 
 def funnel_internal(events: DataFrame, start: str, since, pages: Sequence[str] = INTERNAL_PAGES,
-                    key: str = "user_name") -> DataFrame:
-    """Page flags per user for users who began at the start page since a date, and the two
-    reject positions (before and after pre-approval).
+                    key: str = "user_name", received: str | None = None, offer: str = "pre_approved_submit",
+                    identity: str = "kyc_submit", bank: str = "banking_info_submit") -> DataFrame:
+    """Page flags per user for users who began at the start page since a date, and the positions of a reject:
+    before the offer was taken; after it but before identity was confirmed; and, for users who gave their bank,
+    at or after the time their lead came in (``received``: that time on each event, null where it has no lead).
 
     Whether a user began is one more flag of the same aggregation: no second pass, no join.
     """
     recent = events.filter(F.col("event_ts") >= since)
     page = F.col("page")
     flags = [flag_any(page == p).alias(flag_name(p)) for p in pages]
+    late = (page == "reject") & (F.col(received) <= F.col("event_ts")) if received else F.lit(False)
+    marks = {"_offer": page == offer, "_identity": page == identity, "_bank": page == bank, "_late": late}
     df = recent.groupBy(key).agg(
         flag_any(page == start).alias("_started"), *flags, flag_any(page == "reject").alias("reject"),
-        flag_any(page.contains("-ro")).alias("is_rollback"), F.count("*").alias("events"))
-    df = df.filter("_started = 1").drop("_started")
-    pre, bank = flag_name("pre_approved_submit"), flag_name("banking_info_submit")
-    extra = []
-    if pre in df.columns:
-        extra.append(one((F.col("reject") == 1) & (F.col(pre) == 0)).alias("reject_before_offer"))
-    if bank in df.columns:
-        extra.append(one((F.col("reject") == 1) & (F.col(bank) == 1)).alias("reject_after_bank"))
-    return df.select("*", *extra)
+        flag_any(page.contains("-ro")).alias("is_rollback"), F.count("*").alias("events"),
+        *[flag_any(c).alias(n) for n, c in marks.items()])
+    rejected = F.col("reject") == 1
+    return df.filter("_started = 1").withColumns({
+        "reject_before_offer": one(rejected & (F.col("_offer") == 0)),
+        "reject_after_offer": one(rejected & (F.col("_offer") == 1) & (F.col("_identity") == 0)),
+        "reject_after_lead": one((F.col("_late") == 1) & (F.col("_bank") == 1))}).drop("_started", *marks)
+
+
+def funnel_ordered(events: DataFrame, steps: Sequence[str], key: str = "user_name", ts: str = "event_ts",
+                   tie: str = "id", grain: str = "day") -> DataFrame:
+    """(key, steps_done, t_1 … t_k): how far each user got through ``steps`` in their order, and when. A step
+    counts only after the one before it; events follow time, ties ``tie``.
+
+    A user's events of one time bucket become a small transition table: for every step the user may have reached
+    before, the step reached after and the times on the way. Tables are put together in time order, one a bucket,
+    so a user with very many events is spread over buckets and only pages of the funnel are kept at all.
+    """
+    n = len(steps)
+    number = F.create_map(*[x for i, p in enumerate(steps) for x in (F.lit(p), F.lit(i))])[F.col("page")]
+    seen = events.withColumn("_step", number).filter(F.col("_step").isNotNull())
+    moments = F.transform(F.array_sort(F.collect_list(F.struct(F.col(ts).alias("at"), F.col(tie).alias("tie"),
+                                                               F.col("_step").alias("step")))),
+                          lambda e: F.struct(e["step"].alias("step"), e["at"].alias("at")))
+    chunks = seen.groupBy(key, F.date_trunc(grain, ts).alias("_bucket")).agg(moments.alias("_moments"))
+
+    def walk(begin: int):
+        """State and times after the bucket for a user who had reached step ``begin`` before it."""
+        start = F.struct(F.lit(begin).alias("done"), F.array().cast("array<timestamp_ntz>").alias("times"))
+        return F.aggregate("_moments", start, lambda s, e: F.when(
+            e["step"] == s["done"], F.struct((s["done"] + 1).alias("done"),
+                                             F.array_append(s["times"], e["at"]).alias("times"))).otherwise(s))
+
+    tables = chunks.select(key, F.struct("_bucket", F.array(*[walk(i) for i in range(n + 1)]).alias("walks")).alias("_c"))
+    begin = F.struct(F.lit(0).alias("done"), F.array().cast("array<timestamp_ntz>").alias("times"))
+    folded = tables.groupBy(key).agg(F.array_sort(F.collect_list("_c")).alias("_all")).select(
+        key, F.aggregate("_all", begin, lambda s, c: F.struct(
+            c["walks"][s["done"]]["done"].alias("done"),
+            F.concat(s["times"], c["walks"][s["done"]]["times"]).alias("times"))).alias("_end"))
+    return folded.select(key, F.col("_end.done").alias("steps_done"),
+                         *[F.get("_end.times", F.lit(i)).alias(f"t_{i + 1}") for i in range(n)])
 
 
 def funnel_external(apps: DataFrame, events: DataFrame, welcome: Sequence[str],

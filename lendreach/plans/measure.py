@@ -13,7 +13,8 @@ from lendreach.functions.dates import instant, within_days
 from lendreach.functions.flags import cond_agg, flag_any, one, reject_reason, usable_phone
 from lendreach.functions.money import bid_band, rate
 from lendreach.functions.text import clean_money, list_key, valid_state
-from lendreach.operators.aggregates import by_period, regroup, union_distinct
+from lendreach.operators.aggregates import (bitmap_counts, by_period, dense_ids, distinct_bitmaps, regroup,
+                                            union_distinct)
 from lendreach.operators.consent import email_consent
 from lendreach.operators.history import update_from
 from lendreach.operators.joins import (interval_join, join_sparse, match_calls,
@@ -47,6 +48,33 @@ def monthly_looks(apps: DataFrame, leads: DataFrame, internal: Sequence[int],
         grain)
 
 
+def unique_addresses(apps: DataFrame, internal: Sequence[int]) -> DataFrame:
+    """(received_year, received_month, _bucket, bitmaps): months of different mail addresses of external leads,
+    of those looked at, accepted and rejected, as states that add up to any longer period."""
+    df = apps.filter(~F.col("lead_provider_id").isin(list(internal)))
+    accept, unique = _look_flags()
+    df = df.join(dense_ids(df, "email"), "email").select(
+        F.year("insert_date").alias("received_year"), F.month("insert_date").alias("received_month"), "dense_id",
+        accept.alias("_accept"), unique.alias("_unique"))
+    return distinct_bitmaps(df, "dense_id", ["received_year", "received_month"], {
+        "unique_email_cnt": F.lit(True), "looked_email_cnt": F.col("_unique"), "accepted_email_cnt": F.col("_accept"),
+        "rejected_email_cnt": ~F.col("_accept")})
+
+
+def unique_looks(states: DataFrame) -> DataFrame:
+    """Different addresses by month, by year and over all, all from the monthly states; years do not add up
+    months, as an address may come back."""
+    names = [c for c in states.columns if c.endswith("_cnt")]
+    year, month = F.col("received_year"), F.col("received_month")
+    out = None
+    for grain, by in (("month", ["received_year", "received_month"]), ("year", ["received_year"]), ("all", [])):
+        rows = bitmap_counts(states, by, names)
+        rows = rows.select(F.lit(grain).alias("grain"), (year if "received_year" in by else F.lit(None)).cast("int").alias("received_year"),
+                           (month if "received_month" in by else F.lit(None)).cast("int").alias("received_month"), *names)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def monthly_originations(leads: DataFrame, internal: Sequence[int]) -> DataFrame:
     """Originated loans and amounts of external leads by year and month of receipt; the lead's
     cost falls back to that of the record that became the loan."""

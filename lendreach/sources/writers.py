@@ -35,39 +35,58 @@ def append_history(df: DataFrame, path: str, parts: Sequence[str] = LIST_PARTITI
 
 def replace_run(df: DataFrame, path: str, parts: Sequence[str] = LIST_PARTITIONS,
                 runs: Sequence[Sequence] = ()) -> None:
-    """Replace the partitions present in ``df``, and empty those of ``runs`` first.
+    """Replace the partitions present in ``df``, then empty those of ``runs`` that the write left as they were.
 
     ``runs`` are the partition values that this run stands for, in the order of ``parts``: where the run
-    has no row any more, its earlier rows go. Both steps can be repeated; running a list again changes
-    nothing else.
+    has no row any more, its earlier rows go. Rows are written before anything is emptied, so a run that is lost
+    between the steps leaves a partition with its old rows or its new ones, never without any. Both steps can be
+    repeated; running a list again changes nothing else.
     """
     spark = df.sparkSession
-    for run in _stored(spark, path, parts, runs):
-        folder = "/".join([path.rstrip("/"), *(f"{p}={_folder(v)}" for p, v in zip(parts, run, strict=True))])
-        df.filter(F.lit(False)).drop(*parts).write.mode("overwrite").parquet(folder)
+    before = _files(spark, path, parts, runs)
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*parts).parquet(path))
+    if before:
+        _clear(df, path, parts, before, _files(spark, path, parts, list(before)))
+
+
+def _clear(df: DataFrame, path: str, parts: Sequence[str], before: dict, after: dict) -> None:
+    """Empty the partitions that still hold a file from before the write."""
+    for run, files in before.items():
+        if files & after.get(run, set()):
+            folder = "/".join([path.rstrip("/"), *(f"{p}={_folder(v)}" for p, v in zip(parts, run, strict=True))])
+            df.filter(F.lit(False)).drop(*parts).write.mode("overwrite").parquet(folder)
 
 
 def _folder(value) -> str:
     return "__HIVE_DEFAULT_PARTITION__" if value is None else quote(str(value), safe=" +-_.,;()@&!~")
 
 
-def _stored(spark: SparkSession, path: str, parts: Sequence[str], runs: Sequence[Sequence]) -> list[tuple]:
-    """Those of ``runs`` that the table at ``path`` holds; none where there is no table yet."""
+def _files(spark: SparkSession, path: str, parts: Sequence[str], runs: Sequence[Sequence]) -> dict[tuple, set[str]]:
+    """The files of those of ``runs`` that the table at ``path`` holds; none where there is no table yet.
+
+    The wanted values prune the folders, so nothing else of the history is listed into the scan.
+    """
     if not runs:
-        return []
+        return {}
     try:
-        have = spark.read.parquet(path).select(*[F.col(p).cast("string").alias(p) for p in parts])
-    except AnalysisException:
-        return []
-    text = [tuple(None if v is None else str(v) for v in run) for run in runs]
-    wanted = spark.createDataFrame(text, ", ".join(f"_{p} string" for p in parts))
-    same = None
-    for p in parts:
-        one = F.col(p).eqNullSafe(F.col(f"_{p}"))
-        same = one if same is None else same & one
-    return [tuple(r) for r in wanted.join(have.distinct(), same, "left_semi").collect()]
+        have = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return {}
+        raise
+    wanted = F.lit(False)
+    for run in runs:
+        one = F.lit(True)
+        for p, v in zip(parts, run, strict=True):
+            one = one & F.col(p).cast("string").eqNullSafe(F.lit(None if v is None else str(v)))
+        wanted = wanted | one
+    found = have.filter(wanted).select(*[F.col(p).cast("string").alias(p) for p in parts],
+                                       F.col("_metadata.file_path").alias("file")).distinct()
+    out: dict[tuple, set[str]] = {}
+    for *run, file in found.collect():
+        out.setdefault(tuple(run), set()).add(file)
+    return out
 
 
 def overwrite(df: DataFrame, path: str) -> None:
