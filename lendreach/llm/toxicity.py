@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 
 from lendreach.llm.common import carried, map_arrow
 from lendreach.llm.utf8 import BREAKS, word_blocks
+from lendreach.session import cut_lineage
 
 MAX_PER_CLASS = 3_000       # labelled rows of each class that training sees
 MAX_TERMS = 4_096           # terms that get weights
 MIN_DOCS = 3                # training documents a term must stand in
-MIN_CHI = 15.0              # chi-square under which a term is taken for noise
+MIN_CHI = 17.0              # chi-square under which a term is taken for noise
+LEAST_TERMS = 64            # terms kept however small the sample is, the most surprising ones
+LEAST_ROWS = 32_000         # rows seen in training, over again where there are few
 PREFIXES = (4, 5, 6, 7, 8)  # beginnings of words, in bytes, that are terms too: inflected insults share them
 
 
@@ -37,6 +40,7 @@ def _row_terms(column: pa.Array):
 
 
 def term_lists(batches):
+    """(toxic, terms): the distinct terms of every row."""
     for b in batches:
         terms = [None] * len(b)
         for i, t in _row_terms(b.column("text")):
@@ -45,6 +49,28 @@ def term_lists(batches):
             [b.column("toxic").cast(pa.int32()), pa.array(terms, pa.binary())], ["toxic", "terms"])
 
 
+def term_counts(batches):
+    """(term, hit, miss): how many rows of each class have a term, summed over a batch."""
+    for b in batches:
+        rows = [np.frombuffer(t, np.uint64) for t in b.column("terms").to_pylist()]
+        toxic = np.repeat(b.column("toxic").to_numpy(), [len(r) for r in rows])
+        terms, inv = np.unique(np.concatenate([*rows, np.zeros(0, np.uint64)]), return_inverse=True)
+        hit = np.bincount(inv, toxic, len(terms)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(terms.view(np.int64)), pa.array(hit), pa.array(np.bincount(inv, minlength=len(terms)) - hit)],
+            ["term", "hit", "miss"])
+
+
+def surprise(hit, miss, toxic: float, clean: float, odds: float):
+    """Chi-square of a term against the label, as if the clean rows stood in their true ratio to the toxic ones:
+    ``odds`` true clean rows for a toxic one. So a term is judged alike whatever was sampled of each class."""
+    lift = odds * toxic / max(clean, 1.0)
+    miss, total = miss * lift, toxic * (1 + odds)
+    share, df = 1 / (1 + odds), hit + miss
+    want = df * share
+    return (hit - want) * (hit - want) / (want * (1 - share) * (1 - df / (total + 1.0)) + 1e-9)
+
+
 def _sums(values: np.ndarray, offs: np.ndarray) -> np.ndarray:
     """Sum of each row's slice; empty rows give 0."""
     total = np.concatenate([np.zeros((1, *values.shape[1:])), np.cumsum(values, axis=0)])
@@ -57,37 +83,25 @@ def _raw(m: Machine, at: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return m.bias + _sums(m.linear[at], offs) + 0.5 * (s * s - _sums(v * v, offs)).sum(axis=1)
 
 
-def fit(flat: np.ndarray, size: np.ndarray, labels: np.ndarray, rank: int = 4, epochs: int = 12, rate: float = 0.1,
-        ridge: float = 3e-4, weight: float = 4.0, seed: int = 7) -> Machine:
-    """Adagrad on the logistic loss, rows of label 1 counted ``weight`` times. Terms are kept by chi-square against the label, ties to the lesser hash.
+def constant(toxic: int, clean: int, rank: int = 4) -> Machine:
+    """What one class, or none, allows: the smoothed share of label 1."""
+    return Machine(np.zeros(0, np.uint64), float(np.log((toxic + 0.5) / (clean + 0.5))), np.zeros(0), np.zeros((0, rank)))
+
 
-    ``flat`` holds the distinct terms of all rows, ``size`` how many each row has. One class only gives a
-    constant: the smoothed share of label 1.
+def fit(terms: np.ndarray, at_all: np.ndarray, size: np.ndarray, labels: np.ndarray, shift: float = 0.0, rank: int = 4,
+        epochs: int = 12, rate: float = 0.1, ridge: float = 3e-4, weight: float = 4.0, seed: int = 7) -> Machine:
+    """Adagrad on the logistic loss, rows of label 1 counted ``weight`` times.
+
+    ``terms`` are the sorted hashes that get weights, ``at_all`` the places in it of every row's terms one row
+    after the other, ``size`` how many each row has. ``shift`` is added to the bias: the log of the true odds over
+    those of the rows, so that a score means the same whatever share of each class was sampled.
     """
-    n, pos = len(size), int(labels.sum())
-    if not n or pos in (0, n):
-        share = (pos + 0.5) / (n + 1)
-        return Machine(np.zeros(0, np.uint64), float(np.log(share / (1 - share))), np.zeros(0), np.zeros((0, rank)))
-    doc = np.repeat(np.arange(n, dtype=np.int32), size)
-    terms, inv = np.unique(flat, return_inverse=True)
-    inv = inv.astype(np.int32)
-    df = np.bincount(inv, minlength=len(terms))
-    hit = np.bincount(inv, weights=labels[doc], minlength=len(terms))
-    want = df * pos / n
-    chi = (hit - want) ** 2 / (want * (1 - df / (n + 1.0)) + 1e-9)
-    chi[df < MIN_DOCS] = -1
-    keep = np.sort(np.lexsort((terms, -chi))[:MAX_TERMS])
-    keep = keep[chi[keep] >= MIN_CHI]
-    spot = np.full(len(terms), -1)
-    spot[keep] = np.arange(len(keep))
-    at_all = spot[inv]
-    doc, at_all = doc[at_all >= 0], at_all[at_all >= 0]
-    bounds = np.searchsorted(doc, np.arange(n + 1))
+    n, k = len(size), len(terms)
+    bounds = np.concatenate([[0], np.cumsum(size)])
     rng = np.random.default_rng(seed)
-    k = len(keep)
-    m = Machine(terms[keep], 0.0, np.zeros(k), rng.normal(0, 0.01, (k, rank)))
+    m = Machine(terms, 0.0, np.zeros(k), rng.normal(0, 0.01, (k, rank)))
     bias, gw, gv, gb = 0.0, np.full(k, 1e-6), np.full((k, rank), 1e-6), 1e-6
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-LEAST_ROWS // n))):
         order = rng.permutation(n)
         for lo in range(0, n, 128):
             ids = order[lo:lo + 128]
@@ -109,30 +123,58 @@ def fit(flat: np.ndarray, size: np.ndarray, labels: np.ndarray, rank: int = 4, e
             m.factors[used] -= 0.2 * rate * dv / np.sqrt(gv[used])
             gb += err.sum() ** 2
             bias -= rate * err.sum() / np.sqrt(gb)
-    return Machine(m.terms, float(bias), m.linear, m.factors)
+    return Machine(m.terms, float(bias) + shift, m.linear, m.factors)
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column) -> Machine:
     """Fit on labelled documents for which ``usable`` (over ``doc_id``) holds.
 
     At most ``MAX_PER_CLASS`` rows of each class are used: those with the least hash of doc_id. Null labels
-    and null ids are left out; of several labels of a document the largest counts.
+    and null ids are left out; of several labels of a document the largest counts, and a document whose rows
+    repeat is seen once a row. Terms are counted over the sample by Spark; the driver gets at most ``MAX_TERMS``
+    of them and, of every row, which of those it has. The true odds of the classes are counted over all usable
+    labels and correct both the choice of terms and the bias for what was sampled.
     """
+    spark = docs.sparkSession
     named = (labels.select("doc_id", F.col("toxic").cast("int").alias("toxic"))
              .filter(usable & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+    true = {r["toxic"]: r["count"] for r in named.groupBy("toxic").count().collect()}
     first = [named.filter(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_PER_CLASS)
              for c in (0, 1)]
     sample = first[0].unionAll(first[1])
     # at most 2 * MAX_PER_CLASS rows of 12 bytes: a proven bound
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("toxic", "text")
-    rows = map_arrow(texts, term_lists, "toxic int, terms binary").toArrow()
-    terms = rows.column("terms").cast(pa.large_binary()).combine_chunks()
-    offs = np.frombuffer(terms.buffers()[1], np.int64)[terms.offset:terms.offset + len(terms) + 1]
-    flat = np.frombuffer(terms.buffers()[2], np.uint8)[offs[0]:offs[-1]].view(np.uint64) if len(terms) else \
-        np.zeros(0, np.uint64)
-    return fit(flat, np.diff(offs) // 8 if len(terms) else np.zeros(0, np.int64),
-               np.asarray(rows.column("toxic").to_pylist(), dtype=np.float64))
+    rows = cut_lineage(map_arrow(texts, term_lists, "toxic int, terms binary"), "terms")
+    have = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    toxic, clean = have.get(1, 0), have.get(0, 0)
+    if not toxic or not clean:
+        return constant(true.get(1, 0), true.get(0, 0))
+    odds = true[0] / true[1]
+    counts = (map_arrow(rows, term_counts, "term long, hit long, miss long").groupBy("term")
+              .agg(F.sum("hit").alias("hit"), F.sum("miss").alias("miss")).filter(F.col("hit") + F.col("miss") >= MIN_DOCS)
+              .withColumn("chi", surprise(F.col("hit"), F.col("miss"), toxic, clean, odds)))
+    best = counts.orderBy(F.desc("chi"), "term").limit(MAX_TERMS).select("term", "chi").collect()
+    best = [r["term"] for i, r in enumerate(best) if r["chi"] >= MIN_CHI or i < LEAST_TERMS]
+    terms = np.sort(np.array(best, np.int64).view(np.uint64))
+    sent = spark.sparkContext.broadcast(terms)          # at most MAX_TERMS numbers
+
+    def known(batches):
+        for b in batches:
+            out = []
+            for t in b.column("terms").to_pylist():
+                t = np.frombuffer(t, np.uint64)
+                at = np.minimum(np.searchsorted(sent.value, t), max(len(sent.value) - 1, 0))
+                out.append(at[sent.value[at] == t].astype(np.int32).tobytes() if len(sent.value) else b"")
+            yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array(out, pa.binary())], ["toxic", "at"])
+
+    found = map_arrow(rows, known, "toxic int, at binary").toArrow()
+    places = [np.frombuffer(x, np.int32) for x in found.column("at").to_pylist()]
+    # an order of its own, whatever the partitions were
+    order = sorted(range(len(places)), key=lambda i: (found.column("toxic")[i].as_py(), places[i].tobytes()))
+    labels_ = np.array(found.column("toxic").to_pylist(), float)[order]
+    return fit(terms, np.concatenate([places[i] for i in order]).astype(np.int64), np.array([len(places[i]) for i in order]),
+               labels_, shift=float(np.log(true[1] / true[0]) - np.log(toxic / clean)))
 
 
 def score(docs: DataFrame, machine: Machine, keep: tuple[str, ...] = ("doc_id",),
@@ -166,5 +208,6 @@ def score(docs: DataFrame, machine: Machine, keep: tuple[str, ...] = ("doc_id",)
 
 
 def toxic_scores(docs: DataFrame, labels: DataFrame, usable: Column, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Train on the usable labels, score every document. An empty table gives an empty table."""
+    """Train on the usable labels, score every document; repeated rows score alike. An empty table gives an empty
+    table."""
     return score(docs, train(docs, labels, usable), keep)

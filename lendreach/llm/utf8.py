@@ -38,14 +38,21 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offs[0]:offs[-1]], offs - offs[0]
 
 
-def _powers(n: int) -> np.ndarray:
-    global _POW
-    if len(_POW) < n:
-        _POW = np.multiply.accumulate(np.full(max(n, 2 * len(_POW)), _BASE, np.uint64))
-    return _POW
+def _drawn(n: int) -> np.ndarray:
+    """One factor for every place in a word, each mixed from its number: sums of bytes times such factors have no
+    structure that a word could cancel, as it can with the powers of one base."""
+    with np.errstate(over="ignore"):
+        return mix(np.arange(n, dtype=np.uint64) * _BASE + np.uint64(0x632BE59BD9B4E019))
 
 
-_POW = np.multiply.accumulate(np.full(4096, _BASE, np.uint64))
+def _factors(n: int) -> np.ndarray:
+    global _PLACE
+    if len(_PLACE) < n:
+        _PLACE = _drawn(max(n, 2 * len(_PLACE)))
+    return _PLACE
+
+
+_PLACE = _drawn(4096)
 
 
 def _hashes(data: np.ndarray, first_rows: np.ndarray, gaps: np.ndarray,
@@ -65,7 +72,7 @@ def _hashes(data: np.ndarray, first_rows: np.ndarray, gaps: np.ndarray,
     at = np.flatnonzero(solid)
     begins = first[at]
     place = at - start[np.cumsum(begins) - 1]
-    value = _BYTE[LOWER[data[at]]] * _powers(int(place.max()) + 1)[place]
+    value = _BYTE[LOWER[data[at]]] * _factors(int(place.max()) + 1)[place]
     cuts = np.flatnonzero(begins)
     length = np.diff(np.append(cuts, len(at))).astype(np.uint64)
     words = mix(np.add.reduceat(value, cuts) + length * np.uint64(0xD6E8FEB86659FD93))

@@ -365,16 +365,51 @@ def test_pairs_of_terms_matter():
         a, b = rnd.random() < 0.5, rnd.random() < 0.5
         rows.append(np.array(sorted([*([11] if a else [12]), *([21] if b else [22])]), np.uint64))
         labels.append(float(a == b))
-    chi, toxicity.MIN_CHI = toxicity.MIN_CHI, 0.0
-    try:
-        m = toxicity.fit(np.concatenate(rows), np.full(len(rows), 2), np.array(labels), epochs=60, weight=1.0)
-    finally:
-        toxicity.MIN_CHI = chi
+    terms = np.array([11, 12, 21, 22], np.uint64)
+    m = toxicity.fit(terms, np.searchsorted(terms, np.concatenate(rows)), np.full(len(rows), 2), np.array(labels), epochs=60, weight=1.0)
     at = [np.searchsorted(m.terms, r) for r in rows]
     raw = toxicity._raw(m, np.concatenate(at), np.arange(len(rows) + 1) * 2)
     assert np.mean((raw > 0) == (np.array(labels) > 0)) > 0.95
 
 
+def test_scores_are_weights_and_pair_products(spark):
+    """Linear weights plus the product of every pair of terms, summed one by one."""
+    texts = ["aa bb cc", "aa aa bb", "", None, "dd", "AA ee bb-cc ff gg"]
+    ((_, h, offs),) = utf8.word_blocks(pa.array(["aa bb cc dd"]), utf8.BREAKS, toxicity.PREFIXES)
+    terms = np.sort(np.unique(h[h > 0]))[::1]
+    rng = np.random.default_rng(2)
+    m = toxicity.Machine(terms, -0.3, rng.normal(size=len(terms)), rng.normal(size=(len(terms), 4)))
+    name = dict(zip(("aa", "bb", "cc", "dd"), h[0].tolist(), strict=True))
+    got = {r.doc_id: r.score for r in toxicity.score(docs(spark, texts), m).collect()}
+    for i, t in enumerate(texts):
+        words = sorted(set(re.findall("[a-z]+", (t or "").lower())) & set(name))
+        at = [int(np.searchsorted(terms, np.uint64(name[w]))) for w in words]
+        raw = -0.3 + sum(m.linear[a] for a in at) + sum(m.factors[a] @ m.factors[b] for a, b in itertools.combinations(at, 2))
+        assert abs(got[i] - 1 / (1 + math.exp(-raw))) < 1e-12
+
+
+def test_decisions_do_not_depend_on_the_sampled_share(spark, monkeypatch):
+    """At one to eight, sampled whole or evenly, clean documents reach 0.7 about as rarely and toxic ones are caught."""
+    rnd = random.Random(8)
+    common, insults = [f"w{i}" for i in range(300)], [f"slur{i}x" for i in range(40)]
+
+    def text(toxic):
+        words = [rnd.choice(common) for _ in range(rnd.randint(20, 60))]
+        for _ in range(rnd.randint(1, 2) if toxic else rnd.random() < 0.03):
+            words[rnd.randrange(len(words))] = rnd.choice(insults)
+        return " ".join(words)
+    marks = [int(rnd.random() < 1 / 9) for _ in range(3600)]
+    df = docs(spark, [text(m) for m in marks])
+    labels = spark.createDataFrame(list(enumerate(marks)), "doc_id long, toxic int")
+    rates = []
+    for most in (10_000, 200):          # all rows at 1:8, then an even sample
+        monkeypatch.setattr(toxicity, "MAX_PER_CLASS", most)
+        got = {r.doc_id: r.score for r in toxicity.toxic_scores(df, labels, F.col("doc_id") < 2400).collect()}
+        held = range(2400, 3600)
+        rates.append([np.mean([got[i] >= 0.7 for i in held if marks[i] == k]) for k in (0, 1)])
+    assert all(r[0] < 0.05 and r[1] > 0.8 for r in rates) and abs(rates[0][0] - rates[1][0]) < 0.03, rates
+
+
 def test_toxicity_on_held_out_documents(spark):
     got = queries.op5_toxicity(spark, "/root/testdata/sf0.1").join(
         spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "toxic"), "doc_id").collect()
@@ -495,6 +530,59 @@ def near_texts(seed, n=160):
     return [*out, None, "", " \t", "one", "ONE", "two words", "x" * 5000, " ".join(f"u{i}" for i in range(6000))]
 
 
+def test_words_that_alternate_do_not_collide(spark):
+    """Sums of letters times powers of one base cancel on such words, whatever the base."""
+    turn = [bin(i).count("1") % 2 for i in range(2048)]
+    a, b = ("".join("ab"[t ^ flip] for t in turn) for flip in (0, 1))
+    ((_, h, _),) = utf8.word_blocks(pa.array([f"{a} {b} {a}"]))
+    assert h[0] == h[2] != h[1]
+    got = jaccard.link_documents(docs(spark, [f"{a} one two", f"{b} one two", f"{a} one two"])).collect()
+    assert {r.doc_id: r.component_id for r in got} == {0: 0, 1: 1, 2: 0}
+
+
+@pytest.mark.parametrize("family", [1024, 40])
+def test_large_loose_families(spark, monkeypatch, family):
+    """Edits that mostly miss the threshold: few links among very many pairs that could have been."""
+    monkeypatch.setattr(jaccard, "FAMILY", family)
+    monkeypatch.setattr(jaccard, "PIECE", 37)
+    rnd = random.Random(family)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for _ in range(260):
+        words = list(base)
+        for _ in range(rnd.choice([1, 2, 3, 5, 6, 7])):
+            words[rnd.randrange(len(words))] = f"x{rnd.randrange(10**6)}"
+        texts.append(" ".join(words))
+    sets = [set(zip(w, w[1:], w[2:])) for w in map(str.split, texts)]
+    parent = list(range(len(texts)))
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    n = 0
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        if 100 * len(sets[i] & sets[j]) >= 90 * len(sets[i] | sets[j]):
+            n += 1
+            i, j = top(i), top(j)
+            parent[max(i, j)] = min(i, j)
+    want = {i: top(i) for i in range(len(texts))}
+    assert 20 < n < 10_000 and len(set(want.values())) > 20
+    assert {r.doc_id: r.component_id for r in jaccard.link_documents(docs(spark, texts)).collect()} == want
+
+
+def test_united_components():
+    rng = np.random.default_rng(1)
+    parent = np.arange(50)
+    i, j = rng.integers(0, 50, 30), rng.integers(0, 50, 30)
+    jaccard.united(parent, i, j)
+    want = list(range(50))
+    for a, b in zip(i, j, strict=True):
+        a, b = sorted((want[a], want[b]))
+        want = [a if x == b else x for x in want]
+    assert parent.tolist() == want
+
+
 @pytest.mark.parametrize("seed,rule", [(1, jaccard.Rule(3, 90, 100)), (2, jaccard.Rule(5, 80, 100)), (3, jaccard.Rule(2, 60, 100))])
 def test_links_equal_brute_force(spark, monkeypatch, seed, rule):
     monkeypatch.setattr(jaccard, "BLOCK", 16)       # hot lists span blocks
