@@ -571,6 +571,26 @@ def test_large_loose_families(spark, monkeypatch, family):
     assert {r.doc_id: r.component_id for r in jaccard.link_documents(docs(spark, texts)).collect()} == want
 
 
+def test_long_sets_that_only_share_a_rare_run(spark):
+    """Long texts with one passage in common are many candidates and no links; copies of them still link."""
+    rnd = random.Random(12)
+    shared = " ".join(f"s{i}" for i in range(12))
+    texts = [" ".join(f"v{rnd.randrange(10**7)}" for _ in range(rnd.randint(500, 700))) + " " + shared for _ in range(30)]
+    texts += [t.replace(" v", " q", 3) for t in texts[:6]] + [" ".join(texts[0].split()[:-20])]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.link_documents(docs(spark, texts)).collect()}
+    want = brute_links(list(enumerate(texts)), jaccard.Rule())
+    assert got == want and sum(r != i for i, (_, r) in want.items()) == 7
+
+
+def test_folded_bitmaps():
+    rng = np.random.default_rng(4)
+    h = np.unique(rng.integers(0, 2**63, 900, dtype=np.uint64))
+    large = np.frombuffer(jaccard.wide(h), np.uint64).reshape(1, -1)
+    for words in (16, 8):
+        assert jaccard.folded(large, words).tobytes() == jaccard.parity(h, 64 * words)
+    assert jaccard.wide(h[:511]) is None and large.shape[1] == 32
+
+
 def test_united_components():
     rng = np.random.default_rng(1)
     parent = np.arange(50)
