@@ -61,6 +61,14 @@ def answers(found: DataFrame, groups: DataFrame, members: DataFrame, k: int) ->
                     F.col("b.score").alias("score")))
 
 
+def in_turns(points: DataFrame, asked: DataFrame, by: list[str], most: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a column ``turn``: the queries (by ``qrep``) of a group ``by`` are dealt to turns of about
+    ``most``, and the points of the group stand in each of them; points that nobody asks for go."""
+    turns = asked.groupBy(*by).agg(F.ceil(F.count("*") / most).cast("int").alias("turns"))
+    return (points.join(turns, by).withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1))).drop("turns"),
+            asked.join(turns, by).withColumn("turn", F.pmod(F.xxhash64("qrep"), F.col("turns")).cast("int")).drop("turns"))
+
+
 def matrix(column) -> np.ndarray:
     """Rows x components of an Arrow list column of one length, as doubles."""
     if isinstance(column, pa.ChunkedArray):

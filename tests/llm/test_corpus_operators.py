@@ -182,6 +182,63 @@ def test_probing_with_copies_and_bad_vectors(spark, monkeypatch):
     assert got == {q: [(i, round(s, 9)) for i, s in v] for q, v in brute_top(rows, 20, 6).items()}
 
 
+def uneven(kind: str) -> list:
+    rng = np.random.default_rng(11)
+    x = rng.standard_normal((1200, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if kind == "huge":
+        x[7] *= 100
+    if kind == "lognormal":
+        x *= np.exp(rng.standard_normal(1200))[:, None]
+    if kind == "extreme":
+        x *= 10.0 ** rng.integers(-3, 4, 1200)[:, None]
+    return [(i, v) for i, v in enumerate(x.tolist())]
+
+
+@pytest.mark.parametrize("kind", ["unit", "huge", "lognormal", "extreme"])
+def test_probing_with_uneven_norms(spark, kind):
+    rows = uneven(kind)
+    x = np.array([v for _, v in rows])
+    got = collections.defaultdict(list)
+    for r in ann.near_vectors(frame(spark, rows), F.col("id") % 20 == 0, 20).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    hit = 0
+    for q in range(0, 1200, 20):
+        score = x @ x[q]
+        score[q] = -np.inf
+        assert len(set(got[q])) == len(got[q]) == 20
+        hit += len(set(got[q]) & set(np.lexsort((np.arange(1200), -score))[:20].tolist()))
+    assert len(got) == 60 and hit / (60 * 20) >= 0.9
+
+
+def test_queries_that_meet_too_few_are_compared_with_all(spark, monkeypatch):
+    monkeypatch.setattr(ann, "ROWS", 60)
+    monkeypatch.setattr(ann, "WHOLE_BAND", 0)
+    monkeypatch.setattr(ann, "QUERY_PIECE", 3)
+    rows = vectors(1)
+    none = ann.Probing(tables=1, hashes=12, width=0.01, probes=1)           # nobody meets but copies
+    got = collections.defaultdict(list)
+    for r in ann.near_vectors(frame(spark, rows), F.col("id") % 20 == 0, 6, probing=none).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, round(r.score, 9)))
+    assert got == {q: [(i, round(s, 9)) for i, s in v] for q, v in brute_top(rows, 20, 6).items()}
+
+
+def test_fitted_settings_scan_less_of_larger_tables():
+    rng = np.random.default_rng(3)
+    shares = []
+    for n in (500, 4000):
+        centre = rng.standard_normal((n // 20, 32))
+        x = np.repeat(centre, 20, axis=0) + 0.15 * rng.standard_normal((n, 32))
+        x = rng.permutation(x / np.linalg.norm(x, axis=1, keepdims=True))
+        norm = ann.norms(x)
+        name, count = np.unique(ann.band(norm), return_counts=True)
+        bands = ann.Bands(name, np.array([norm[ann.band(norm) == b].max() for b in name]), count)
+        p, recall, share = ann.fitted(x, bands, n, 10)
+        assert recall >= ann.GOAL and (recall, share) == ann.measured(x, p, bands, 10)
+        shares.append(share)
+    assert shares[1] < shares[0] / 2 < 0.25
+
+
 @pytest.mark.parametrize("search", [lambda df: ann.near_vectors(df, F.col("id") % 2 == 0, 3),
                                     lambda df: balltree.exact_top(df, F.col("id") % 2 == 0, 3)])
 def test_searches_of_empty_and_single(spark, search):
