@@ -16,8 +16,8 @@ from lendreach.llm.common import carried, map_arrow
 
 SAMPLE_DOCS = 128       # documents of each language that are learned from
 SAMPLE_CHARS = 256      # code points taken from each of them
-ALPHABET = 40           # most frequent letters that keep a symbol of their own
-WINDOW = 2048           # code points parsed in one lane; a phrase also ends there
+ALPHABET = 40           # most frequent letters, one symbol each; other letters of the sample are two symbols
+WINDOW = 2048           # symbols parsed in one lane; a phrase also ends there
 LANES = 2048
 SHARPNESS = 16.0        # of the score, in bits a symbol
 MISS = np.int32(-2**31)
@@ -35,6 +35,8 @@ class Parser:
     """Transition table of all automata, one row a state: next row, or MISS with the row to go on from."""
     langs: tuple[str, ...]
     symbol: np.ndarray      # code point -> symbol
+    second: np.ndarray      # code point -> the symbol that follows it, or 0
+    local: np.ndarray       # language x symbol -> column of its rows; 0 for what its sample does not hold
     letter: np.ndarray      # code point -> is a letter
     table: np.ndarray       # flat; entries are row starts
     roots: np.ndarray
@@ -75,36 +77,71 @@ def suffix_automaton(symbols: list[int], size: int) -> np.ndarray:
     return out
 
 
+def folded(c: str) -> str:
+    return c.lower() if len(c.lower()) == 1 else c
+
+
+def spell(symbol: np.ndarray, second: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Symbols of code points; rarer letters are spelt with two."""
+    one, two = symbol[codes], second[codes]
+    if not two.any():
+        return one
+    width = 1 + (two > 0)
+    out, at = np.zeros(int(width.sum()), one.dtype), np.cumsum(width) - width
+    out[at] = one
+    out[at[two > 0] + 1] = two[two > 0]
+    return out
+
+
 def fold_text(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
 @lru_cache(maxsize=2)
 def build(sample: Sample) -> Parser:
-    """Automata of a sample; built once in each Python worker."""
-    common = Counter("".join(sample.texts).lower())
-    kept = sorted((c for c in common if c.isalpha()), key=lambda c: (-common[c], c))[:ALPHABET]
-    # 0: any other letter, 1: digits, 2: everything else
+    """Automata of a sample; built once in each Python worker.
+
+    Every letter of the sample keeps its identity, whatever the number of scripts: the ``ALPHABET`` commonest have
+    a symbol each, the others a pair out of two further sets of symbols. Each automaton has columns only for the
+    symbols of its own sample, as all others end a phrase alike.
+    """
+    seen = Counter("".join(sample.texts))
+    common: Counter = Counter()
+    for c, n in seen.items():
+        if c.isalpha():
+            common[folded(c)] += n
+    letters = sorted(common, key=lambda c: (-common[c], c))
+    kept, rare = letters[:ALPHABET], letters[ALPHABET:]
+    # 0: any letter that the sample does not hold, 1: digits, 2: everything else
+    half = int(np.ceil(np.sqrt(len(rare))))
     k = len(kept) + 3
+    codes_of = {c: (i, 0) for i, c in enumerate(kept, 3)}
+    codes_of |= {c: (k + i // half, k + half + i % half) for i, c in enumerate(rare)}
     letter = np.zeros(0x110000, bool)
     letter[:] = [chr(i).isalpha() for i in range(0x110000)]
-    symbol = np.where(letter, 0, 2).astype(np.uint8)
+    symbol = np.where(letter, 0, 2).astype(np.uint16)
+    second = np.zeros(0x110000, np.uint16)
     symbol[48:58] = 1
-    for i, c in enumerate(kept, 3):
-        symbol[ord(c)] = i
-        if len(c.upper()) == 1:
-            symbol[ord(c.upper())] = i
+    for c, (first, then) in codes_of.items():
+        for form in {c, c.upper()}:
+            if len(form) == 1:
+                symbol[ord(form)], second[ord(form)] = first, then
     parts, roots, base = [], [], 0
-    for text in sample.texts:
-        t = suffix_automaton(symbol[fold_text(text)].tolist(), k)
-        rows = (t + base) * k
-        again = np.where(t[0] < 0, np.int32(base * k), rows[0])
-        parts.append(np.where(t < 0, again[None, :] | MISS, rows).astype(np.int32))
-        roots.append(base * k)
-        base += len(t)
-    table = np.concatenate(parts) if parts else np.zeros((0, k), np.int32)
+    local = np.zeros((len(sample.texts), k + 2 * half), np.int32)
+    for i, text in enumerate(sample.texts):
+        syms = spell(symbol, second, fold_text(text))
+        own = np.unique(syms)
+        local[i, own] = np.arange(1, len(own) + 1)
+        wide = len(own) + 1
+        t = suffix_automaton(local[i, syms].tolist(), wide)
+        rows = t * wide + base
+        again = np.where(t[0] < 0, np.int32(base), rows[0])
+        parts.append(np.where(t < 0, again[None, :] | MISS, rows).astype(np.int32).ravel())
+        roots.append(base)
+        base += t.size
+    table = np.concatenate(parts) if parts else np.zeros(0, np.int32)
     bits = np.log2(np.array([max(2, len(t)) for t in sample.texts], float))
-    return Parser(sample.langs, symbol, letter, table.ravel(), np.array(roots, np.int32), bits)
+    return Parser(sample.langs, symbol, second, local, letter, table, np.array(roots, np.int32), bits)
 
 
 def phrases(p: Parser, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -123,7 +160,7 @@ def phrases(p: Parser, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.nda
         ends = np.zeros(state.shape, np.int32)
         live = np.searchsorted(-lengths, -np.arange(1, len(grid) + 1), "right")
         for t, n in enumerate(live):
-            to = p.table[state[:, :n] + grid[t, :n]]
+            to = p.table[state[:, :n] + p.local[:, grid[t, :n]]]
             ends[:, :n] += to < 0
             state[:, :n] = to & np.int32(0x7FFFFFFF)
         np.add.at(count, np.array([d for _, d in lanes]), ends.T + 1)
@@ -133,7 +170,7 @@ def phrases(p: Parser, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.nda
         codes = fold_text(text)
         size[d], lettered[d] = len(codes), bool(p.letter[codes].any())
         if lettered[d] and len(p.langs):
-            syms = p.symbol[codes]
+            syms = spell(p.symbol, p.second, codes)
             for lo in range(0, len(syms), WINDOW):
                 lanes.append((syms[lo:lo + WINDOW], d))
                 if len(lanes) == LANES:
@@ -164,7 +201,8 @@ def identify(docs: DataFrame, sample: Sample, keep: tuple[str, ...] = ("doc_id",
 
     The cost of a language is its phrases times log2 of its training length, a symbol. The least cost wins,
     ties go to the lesser name. ``und`` with score 0 is given to a null text, a text without a letter, and to
-    all if nothing could be learned. Repeated rows are scored alike.
+    all if nothing could be learned. Repeated rows are scored alike. A phrase also ends every ``WINDOW`` symbols,
+    in all languages at the same places.
     """
     sent = docs.sparkSession.sparkContext.broadcast(sample)     # at most SAMPLE_DOCS * SAMPLE_CHARS a language
     kept, body = carried(docs, keep, "text")

@@ -277,6 +277,43 @@ def test_phrase_counts_equal_substring_search():
     assert count[4].tolist() == lanes
 
 
+def scripts() -> tuple[dict[str, list[str]], langid.Sample]:
+    """Words of eight made-up languages in their scripts: three that share Latin letters, and hundreds of signs each
+    for the last three."""
+    rnd = random.Random(8)
+    blocks = {"la": (97, 14), "lb": (103, 16), "lc": (97, 26), "ru": (0x430, 32), "el": (0x3B1, 24),
+              "zh": (0x4E00, 800), "ko": (0xAC00, 800), "zj": (0x4E00 + 500, 800)}
+    words = {name: ["".join(chr(rnd.randrange(lo, lo + n)) for _ in range(rnd.randint(2, 5))) for _ in range(400)]
+             for name, (lo, n) in blocks.items()}
+    text = {name: " ".join(rnd.choice(w) for _ in range(6000)) for name, w in words.items()}
+    return words, langid.Sample(tuple(sorted(text)), tuple(text[n] for n in sorted(text)))
+
+
+def test_languages_of_many_scripts_are_told_apart():
+    words, sample = scripts()
+    p, rnd = langid.build(sample), random.Random(9)
+    for name, w in words.items():
+        texts = [" ".join(rnd.choice(w) for _ in range(25)) for _ in range(50)]
+        count, _, _ = langid.phrases(p, texts)
+        right = (count * p.bits).argmin(axis=1) == sample.langs.index(name)
+        assert right.mean() >= 0.96, name
+    held = {langid.folded(c) for c in "".join(sample.texts) if c.isalpha()}
+    assert len({(int(p.symbol[ord(c)]), int(p.second[ord(c)])) for c in held}) == len(held) > 1500
+    assert p.table.nbytes < 400 << 20
+
+
+def test_phrase_counts_of_rarer_letters_equal_substring_search(monkeypatch):
+    monkeypatch.setattr(langid, "ALPHABET", 3)
+    rnd = random.Random(4)
+    signs = "abcdefghijklmnop \u0130\u0436"
+    refs = ["".join(rnd.choice(signs) for _ in range(600)), "".join(rnd.choice(signs[4:]) for _ in range(600))]
+    p = langid.build(langid.Sample(("m", "n"), tuple(refs)))
+    texts = ["".join(rnd.choice(signs) for _ in range(300)), "zebra \u4e00 " * 5, "a"]
+    spelt = [tuple(langid.spell(p.symbol, p.second, langid.fold_text(t)).tolist()) for t in (*refs, *texts)]
+    chars = [["".join(map(chr, s)) for s in spelt[:2]], ["".join(map(chr, s)) for s in spelt[2:]]]
+    assert langid.phrases(p, texts)[0].tolist() == [[phrases_by_hand(r, t) for r in chars[0]] for t in chars[1]]
+
+
 def test_language_query_is_right_on_held_out_text(spark):
     got = queries.op2_langid(spark, SF).join(table(spark, "documents").select("doc_id", "lang", "text"), "doc_id")
     held = [r for r in got.collect() if r.held_out]
