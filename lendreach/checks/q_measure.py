@@ -15,6 +15,7 @@ from lendreach.operators.ranking import draw_sequence
 from lendreach.plans import facts, funnel, measure, paid_off
 from lendreach.plans.refresh import StoredFact
 from lendreach.session import cut_lineage, fresh_path
+from lendreach.sources.colocated import CoLocated
 
 ID = "lms_application_id"
 WEB_PAGES = ("create_password_submit", "welcome", "account_terms", "account_terms_submit", "payment_schedule_submit",
@@ -149,10 +150,13 @@ FACT = f"""{FIRST_PAY}, {CONSENT}, {BEHAVE},
   WHERE (a.isuniqueaccept = 1 OR (a.loan_sequence = 1 AND a.isexpress = 0)) AND a.isapplicationtest = 0)"""
 
 
+def fact_tables(v):
+    return facts.FactTables(v.leads, v.application, v.schedules, v.items, optin(v), v.customer_flat, hashed(v),
+                            v.mail_map, behaviour(v))
+
+
 def fact(v):
-    t = facts.FactTables(v.leads, v.application, v.schedules, v.items, optin(v), v.customer_flat, hashed(v),
-                         v.mail_map, behaviour(v))
-    return facts.application_fact(FACT_CTX, t, "Own Web", ("Provider 1",), FIRST_DAY)
+    return facts.application_fact(FACT_CTX, fact_tables(v), "Own Web", ("Provider 1",), FIRST_DAY)
 
 
 @query("N04_application_fact", f"leads items schedules application customer_flat visits mail_map {CONSENT_VIEWS}", f"WITH {FACT} SELECT * FROM fact")
@@ -160,6 +164,12 @@ def _(v):
     return fact(v)
 
 
+@query("N04_colocated", f"leads items schedules application customer_flat visits mail_map {CONSENT_VIEWS}", f"WITH {FACT} SELECT * FROM fact")
+def _(v):
+    buckets = CoLocated(v.spark, int(v.spark.conf.get("spark.sql.shuffle.partitions")))
+    return facts.ColocatedFact.write(fact_tables(v), buckets).fact(FACT_CTX, "Own Web", ("Provider 1",), FIRST_DAY)
+
+
 def _refreshed(v):
     """The fact as it was in March 1998, refreshed over a later look-back, double keys and tests cleaned up."""
     leads = v.leads.select("lms_code", F.col("lms_application_id").alias("original_lead_id"), "isapplicationtest", "isuniqueaccept")

@@ -87,6 +87,12 @@ def bucketed_last(df: DataFrame, keys: Sequence[str], ts: str, values: Sequence[
         "_m", *[f"_{x}_{v}" for x in "pc" for v in values])
 
 
+def last_before(df: DataFrame, keys: Sequence[str], ts: str, values: Sequence[str]) -> DataFrame:
+    """The rows of :func:`bucketed_last` by one window a key, for keys that are known to have few rows."""
+    before = Window.partitionBy(*keys).orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)
+    return df.withColumns({v: F.last(v, ignorenulls=True).over(before) for v in values})
+
+
 def first_payment(items: DataFrame, loan: str, item_id: str, order: Sequence[str]) -> DataFrame:
     """First settled payment per loan, with default, amount and paid flags.
 
