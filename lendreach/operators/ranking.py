@@ -50,22 +50,19 @@ def sequence_number(df: DataFrame, keys: Sequence[str], ts: str, ties: Sequence[
 
     Buckets are numbered on their own; each adds the count of the key's earlier buckets. The
     bucket totals are one small row per key and bucket, so the only window over a whole key
-    sees at most one row per bucket.
+    sees at most one row per bucket. Each bucket's count goes in front of its rows as one more row, so the rows
+    themselves are moved and sorted once. Rows without a key or time are numbered too.
     """
     rows = df.withColumn("_m", _bucket(ts, grain))
     totals = rows.groupBy(*keys, "_m").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_m").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, "_m", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
-    inside = Window.partitionBy(*keys, "_m").orderBy(ts, *ties)
-    numbered = rows.repartition(*keys, "_m").withColumn("_i", F.row_number().over(inside))
-    # null-safe, so that rows without a key or time are numbered too
-    right = offsets.select(*[F.col(k).alias(f"_r_{k}") for k in (*keys, "_m")], "_o")
-    same = F.lit(True)
-    for k in (*keys, "_m"):
-        same = same & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-    return (numbered.join(right, same)
-            .withColumn(out, (F.col("_i") + F.col("_o")).cast("int"))
-            .drop("_m", "_i", "_o", *[f"_r_{k}" for k in (*keys, "_m")]))
+    inside = Window.partitionBy(*keys, "_m").orderBy(F.col("_o").isNull(), ts, *ties)
+    numbered = (rows.unionByName(offsets, allowMissingColumns=True).repartition(*keys, "_m")
+                .withColumns({"_i": F.row_number().over(inside) - 1, "_s": F.first("_o").over(
+                    inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))}))
+    return (numbered.filter(F.col("_o").isNull()).withColumn(out, (F.col("_i") + F.col("_s")).cast("int"))
+            .drop("_m", "_o", "_i", "_s"))
 
 
 def bucketed_last(df: DataFrame, keys: Sequence[str], ts: str, values: Sequence[str],
