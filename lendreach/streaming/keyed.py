@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import bisect
 import math
+import struct
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -50,6 +51,10 @@ def _millis(us: int) -> int:
     return math.ceil(us / 1000)
 
 
+def _at(sent: tuple) -> int:
+    return sent[0]
+
+
 class Session:
     """First and last event, number of events, whether one closed it, and how often it was reported."""
     __slots__ = ("first", "last", "n", "closed", "told", "fresh")
@@ -63,29 +68,40 @@ class Session:
         self.told, self.fresh = max(self.told, o.told), 1
 
 
+_SESSION = struct.Struct(f"<{len(Session.__slots__)}q")     # as the state store holds a session
+
+
 class IdleUsers(StatefulProcessor):
-    """Sessions of one user, oldest first; a timer stands at the end of each."""
+    """Sessions of one user, oldest first, read and written as a whole; one timer a user stands at the earliest
+    instant at which a session has to be looked at."""
 
     def __init__(self, gap: int, keep: int):
         self.gap, self.keep = gap, keep
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getMapState("sessions", "first long", "last long, n long, closed int, told int, fresh int")
+        self.state = handle.getValueState("sessions", "packed binary")
+
+    def _load(self) -> list[Session]:
+        held = self.state.get()
+        return [Session(*s) for s in _SESSION.iter_unpack(held[0])] if held else []
+
+    def _next(self, sessions: list[Session]) -> int | None:
+        return min((_millis(s.last + (self.gap if s.fresh else self.keep)) for s in sessions), default=None)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         if key[0] is None:      # ticks, and events of nobody
             return iter(())
-        old = sorted(((k[0], *v) for k, v in self.state.iterator()))
-        known = {s[0] for s in old}
-        sessions = [Session(*s) for s in old]
+        sessions = self._load()
+        before = self._next(sessions)
         for r in rows:
             if r.us is not None:
                 self._place(sessions, Session(r.us, r.us, 1, r.closes, 0, 1))
-        for s in sessions:
-            if s.fresh:
-                self.handle.registerTimer(_millis(s.last + self.gap))
-        self._store(known, sessions)
+        if sessions:
+            at = self._next(sessions)
+            if before is None or at < before:   # a timer that comes too early finds nothing to do and is set anew
+                self.handle.registerTimer(at)
+            self._store(sessions)
         return iter(())
 
     def _place(self, sessions: list[Session], s: Session) -> None:
@@ -99,26 +115,28 @@ class IdleUsers(StatefulProcessor):
         while at + 1 < len(sessions) and sessions[at + 1].first - sessions[at].last <= self.gap:
             sessions[at].add(sessions.pop(at + 1))
 
-    def _store(self, known: set[int], sessions: list[Session]) -> None:
-        for first in known - {s.first for s in sessions}:
-            self.state.removeKey((first,))
-        for s in sessions:
-            self.state.updateValue((s.first,), (s.last, s.n, s.closed, s.told, s.fresh))
+    def _store(self, sessions: list[Session]) -> None:
+        if sessions:
+            self.state.update((b"".join(_SESSION.pack(*(getattr(s, c) for c in Session.__slots__)) for s in sessions),))
+        else:
+            self.state.clear()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        out = []
-        for (first,), (last, n, closed, told, fresh) in sorted((tuple(k), tuple(v)) for k, v in self.state.iterator()):
-            if last + self.gap > now:
-                continue
-            if fresh and not closed:
-                out.append(Row(user_id=key[0], dropoff_us=last, record_cnt=n, report=told + 1))
-            if last + self.keep <= now:
-                self.state.removeKey((first,))
-                continue
-            if fresh:
-                self.state.updateValue((first,), (last, n, closed, told + (not closed), 0))
-            self.handle.registerTimer(_millis(last + self.keep))
+        sessions = self._load()
+        out, left = [], []
+        for s in sessions:
+            if s.last + self.gap <= now:
+                if s.fresh and not s.closed:
+                    s.told += 1
+                    out.append(Row(user_id=key[0], dropoff_us=s.last, record_cnt=s.n, report=s.told))
+                s.fresh = 0
+            if s.fresh or s.last + self.keep > now:
+                left.append(s)
+        if sessions:
+            self._store(left)
+        if left:
+            self.handle.registerTimer(self._next(left))
         return iter(out)
 
     def close(self) -> None:
@@ -147,7 +165,8 @@ def idle_users(events: DataFrame, ticks: DataFrame, user: str = "user_id", ts: s
 
 
 class ContactLimit(StatefulProcessor):
-    """Sends of one customer: those that wait for the clock, and those let through within the period."""
+    """Sends of one customer: those that wait for the clock, those let through within the period, and the instant
+    of the customer's one timer."""
 
     def __init__(self, most: int, period: int, late: int):
         self.most, self.period, self.late = most, period, late
@@ -155,40 +174,49 @@ class ContactLimit(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.waiting = handle.getListState("waiting", "us long, list string, id long")
-        self.sent = handle.getMapState("sent", "us long, id long", "list string")
+        self.sent = handle.getListState("sent", "us long, id long, list string")
+        self.timer = handle.getValueState("timer", "at long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         if key[0] is None:
             return iter(())
         fresh = [(r.us, r.list, r.id) for r in rows if r.us is not None]
-        for at in {_millis(us + self.late) for us, _, _ in fresh}:
-            self.handle.registerTimer(at)
         if fresh:
             self.waiting.appendList(fresh)
+            set_for, at = self.timer.get(), _millis(min(r[0] for r in fresh) + self.late)
+            if set_for is None or at < set_for[0]:
+                self._set(at)
         return iter(())
 
+    def _set(self, at: int) -> None:
+        self.handle.registerTimer(at)
+        self.timer.update((at,))
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         """Decide all that the clock has passed, in the order of time, list and id; drop what is too old to matter."""
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
+        waiting = [tuple(r) for r in self.waiting.get()]
         due = sorted((r for r in waiting if _millis(r[0] + self.late) * 1000 <= now), key=lambda r: (r[0], r[1] or "", r[2]))
         if not due:
             return iter(())
         rest = [r for r in waiting if _millis(r[0] + self.late) * 1000 > now]
-        sent = sorted((*tuple(k), tuple(v)[0]) for k, v in self.sent.iterator())
+        sent = sorted((tuple(r) for r in self.sent.get()), key=_at)
         out = []
         for us, name, number in due:
-            for old in [s for s in sent if s[0] + self.period + self.late <= us]:
-                sent.remove(old)
-                self.sent.removeKey(old[:2])
-            near = [s for s in sent if abs(us - s[0]) < self.period]
+            near = sent[bisect.bisect_right(sent, us - self.period, key=_at):bisect.bisect_left(sent, us + self.period, key=_at)]
             if len(near) < self.most and all(s[2] != name for s in near):
-                sent.append((us, number, name))
-                self.sent.updateValue((us, number), (name,))
+                bisect.insort(sent, (us, number, name), key=_at)
                 out.append(Row(customer=key[0], list=name, us=us, id=number))
-        self.waiting.clear()
+        sent = [s for s in sent if s[0] + self.period + self.late > due[-1][0]]
+        for state, left in ((self.waiting, rest), (self.sent, sent)):
+            if left:
+                state.put(left)
+            else:
+                state.clear()
         if rest:
-            self.waiting.put(rest)
+            self._set(min(_millis(r[0] + self.late) for r in rest))
+        else:
+            self.timer.clear()
         return iter(out)
 
     def close(self) -> None:
