@@ -15,6 +15,8 @@ from lendreach.operators.aggregates import union_distinct
 from lendreach.operators.joins import bounded, exclude, link_sequence
 from lendreach.operators.ranking import draw_sequence, pick_one
 
+RULE_SALTS = 64
+
 
 def list_right_to_cure(leads: DataFrame, accounts: DataFrame, statements: DataFrame,
                        ctx: RunContext, system: str, states: Sequence[str],
@@ -170,7 +172,8 @@ def segment(history: DataFrame, spec: DataFrame, run_dates: DataFrame | None = N
 
     ``spec`` rows: segment, list_module, days_since (null for any), product (null for any),
     in_carve (1 inside the carved-out states and products, 0 outside, null for both) and
-    extra1 (null for any). Days count from the withdrawal or the last repayment.
+    extra1 (null for any). Days count from the withdrawal or the last repayment. There are few list modules, so
+    each rule goes to every salt and each history row to one.
     """
     made = F.to_date("list_generation_time")
     h = history.withColumn("_days", F.datediff(
@@ -181,11 +184,14 @@ def segment(history: DataFrame, spec: DataFrame, run_dates: DataFrame | None = N
         h = h.join(run_dates, "run_date", "left_semi")
     s = spec.select("segment", F.col("list_module").alias("_m"), F.col("days_since").alias("_d"),
                     F.col("product").alias("_p"), F.col("in_carve").alias("_c"),
-                    F.col("extra1").alias("_x"))
+                    F.col("extra1").alias("_x"),
+                    F.explode(F.sequence(F.lit(0), F.lit(RULE_SALTS - 1))).alias("_rule_salt"))
+    h = h.withColumn("_salt", F.pmod(F.xxhash64("email", "customer_firstname", "approved_amount", "run_date"),
+                                     F.lit(RULE_SALTS)).cast("int"))
 
     def same(rule: str, value: str) -> Column:
         return F.col(rule).isNull() | (F.col(rule) == F.col(value))
-    hit = h.join(s, (F.col("list_module") == F.col("_m")) & same("_d", "_days")
+    hit = h.join(s, (F.col("list_module") == F.col("_m")) & (F.col("_salt") == F.col("_rule_salt")) & same("_d", "_days")
                  & same("_p", "product") & same("_c", "_in") & same("_x", "extra1"))
     return hit.select("segment", "run_date", "customer_firstname", "email",
                       "approved_amount").distinct()
