@@ -29,6 +29,26 @@ def latest_per(df: DataFrame, keys: Sequence[str], ts: str, ties: str = "keep",
             .withColumn("_rk", F.rank().over(w)).filter("_rk = 1").drop("_rk"))
 
 
+def latest_in_runs(df: DataFrame, keys: Sequence[str], day: Column, ts: str, back: int, until: int) -> DataFrame:
+    """``first_run`` and ``last_run`` of every row: the run dates on which it is the latest of its key, ties kept.
+
+    A run sees the days [run - back, run - until]. A row is seen from its day + ``until`` to its day + ``back``; a
+    later row of an earlier day hides it until that day is out of sight, one of a later day as soon as it is seen.
+    So what is left is one span of run dates, and no row is opened into them. Rows that no run takes are left out.
+    """
+    reach = max(back - until, 0)
+    rows = latest_per(df.withColumn("_day", day).filter("_day is not null"), [*keys, "_day"], ts)
+    near = (Window.partitionBy(*keys).orderBy(F.unix_date("_day")).rangeBetween(-reach, reach))
+    later = F.filter("_near", lambda x: x["ts"] > F.col(ts))
+    before = F.array_max(F.transform(F.filter(later, lambda x: x["day"] < F.col("_day")), lambda x: x["day"]))
+    after = F.array_min(F.transform(F.filter(later, lambda x: x["day"] > F.col("_day")), lambda x: x["day"]))
+    rows = rows.withColumn("_near", F.collect_set(F.struct(F.col("_day").alias("day"), F.col(ts).alias("ts"))).over(near))
+    rows = rows.withColumns({
+        "first_run": F.greatest(F.date_add("_day", until), F.date_add(before, back + 1)),
+        "last_run": F.least(F.date_add("_day", back), F.date_add(after, until - 1))})
+    return rows.filter("first_run <= last_run").drop("_day", "_near")
+
+
 def latest_value(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str,
                  out: str) -> DataFrame:
     """Value of the latest row per key; equal times are settled by ``tie``."""

@@ -56,16 +56,36 @@ def system_job(rules: Rules, date: Column) -> Column:
                          for code, suffix in rules.job_suffix.items()])
 
 
+def _columns(extras: Sequence[Column | str]) -> list[Column | str]:
+    """The columns of a list that no run date changes."""
+    return ["lms_customer_id", "lms_application_id", "received_time", "lms_code",
+            "state", "product", "loan_sequence", F.col("emailaddress").alias("email"),
+            name_case(F.col("customer_firstname")).alias("customer_firstname"),
+            name_case(F.col("customer_lastname")).alias("customer_lastname"), *extras]
+
+
 def list_rows(df: DataFrame, module: str | Column, date: str, job: Column,
               extras: Sequence[Column | str] = ()) -> DataFrame:
     """The common list columns plus extras, without repeated rows."""
     name = F.lit(module) if isinstance(module, str) else module
-    return df.select(
-        F.col(date).alias("business_date"), name.alias("list_module"),
-        job.alias("job_id"), "lms_customer_id", "lms_application_id", "received_time", "lms_code",
-        "state", "product", "loan_sequence", F.col("emailaddress").alias("email"),
-        name_case(F.col("customer_firstname")).alias("customer_firstname"),
-        name_case(F.col("customer_lastname")).alias("customer_lastname"), *extras).distinct()
+    return df.select(F.col(date).alias("business_date"), name.alias("list_module"),
+                     job.alias("job_id"), *_columns(extras)).distinct()
+
+
+def list_rows_per_run(df: DataFrame, run_dates: DataFrame, first: str, last: str, module: str,
+                      job: Column, extras: Sequence[Column | str] = ()) -> DataFrame:
+    """The rows of :func:`list_rows` for every run date from ``first`` to ``last`` of a row.
+
+    Rows are made distinct before they are opened into their run dates, so nothing is sorted or kept per run
+    date. ``first`` and ``last`` must follow from the list columns; ``job`` may hold the run date and the system,
+    ``extras`` no run date.
+    """
+    once = df.filter(F.col(first) <= F.col(last)).select(
+        F.col(first).alias("_first"), F.col(last).alias("_last"), *_columns(extras)).distinct()
+    each = once.withColumn("run_date", F.explode(F.sequence("_first", "_last")))
+    each = each.join(run_dates.select("run_date").distinct(), "run_date")
+    return each.select(F.col("run_date").alias("business_date"), F.lit(module).alias("list_module"),
+                       job.alias("job_id"), *[c for c in once.columns if c not in ("_first", "_last")])
 
 
 def requested() -> Column:

@@ -13,10 +13,11 @@ from lendreach.functions.flags import one
 from lendreach.functions.text import valid_mail_ending
 from lendreach.operators.calendar import is_biweekly, weekday_rota
 from lendreach.operators.consent import add_phone, add_sms_consent
-from lendreach.operators.joins import bounded, exclude, in_windows
-from lendreach.operators.ranking import latest_per
+from lendreach.operators.joins import bounded, exclude
+from lendreach.operators.ranking import latest_in_runs, latest_per
 from lendreach.plans.common import (MAILABLE_REASONS, WINBACK_REASONS, WITHDRAWN, Rules,
-                                    allowed_place, eligible, list_rows, requested, system_job)
+                                    allowed_place, eligible, list_rows, list_rows_per_run, requested,
+                                    system_job)
 
 
 def withdrawn_new(leads: DataFrame, rules: Rules,
@@ -54,9 +55,10 @@ def list_withdrawn_range(leads: DataFrame, run_dates: DataFrame, rules: Rules,
                .withColumn("end_date", F.date_sub("run_date", until)))
     base = bounded(withdrawn_new(leads, rules), "withdrawn_time", windows, "std_date", "end_date")
     base = exclude(base, live_customers(leads), ["lms_customer_id"])
-    base = in_windows(base, F.to_date("withdrawn_time"), windows, "std_date", "end_date")
-    return list_rows(_last_application(base, "run_date"), module, "run_date",
-                     system_job(rules, F.col("run_date")), _extras(key_word))
+    base = latest_in_runs(base, ["lms_code", "lms_customer_id"], F.to_date("withdrawn_time"),
+                          "received_time", back, until)
+    return list_rows_per_run(base, windows, "first_run", "last_run", module,
+                             system_job(rules, F.col("run_date")), _extras(key_word))
 
 
 def list_withdrawn_on_days(leads: DataFrame, run_dates: DataFrame, rules: Rules,
@@ -128,7 +130,7 @@ def list_cross_brand(leads: DataFrame, other_brand: DataFrame, run_dates: DataFr
         F.col("state").isin(list(states)) & (F.col("maxloanlimit") > 0))
     base = exclude(base, live_customers(leads), ["lms_customer_id"])
     base = exclude(base, known, ["emailaddress"])
-    base = in_windows(base, F.to_date("withdrawn_time"), windows, "std_date", "end_date")
-    return list_rows(_last_application(base, "run_date"), module, "run_date",
-                     system_job(rules, F.col("run_date")),
-                     _extras(F.lit(None).cast("string")))
+    base = latest_in_runs(base, ["lms_code", "lms_customer_id"], F.to_date("withdrawn_time"),
+                          "received_time", back, until)
+    return list_rows_per_run(base, windows, "first_run", "last_run", module,
+                             system_job(rules, F.col("run_date")), _extras(F.lit(None).cast("string")))

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lendreach.operators import joins, ranking
-from lendreach.plans import service
+from lendreach.plans import service, withdrawn
+from lendreach.plans.common import Rules
 from lendreach.sources.colocated import settings
 from lendreach.streaming import keyed
 
@@ -147,3 +148,43 @@ def test_segment_rules_meet_a_module_in_many_tasks(shuffled):
     line = next(x for x in plan(out).splitlines() if "Exchange hashpartitioning(list_module" in x)
     assert "_salt" in line
     assert sorted(r.email for r in out.collect()) == sorted(r[8] for r in rows)
+
+
+@pytest.mark.parametrize("back,until", [(6, 1), (4, 0), (0, 0), (1, 3), (3, -2)])
+def test_runs_that_take_a_row_are_one_span(spark, back, until):
+    days = [None, *[dt.date(2020, 1, 1) + dt.timedelta(i) for i in (0, 1, 1, 2, 4, 9, 14, 15)]]
+    rows = [(k, i, days[i * 5 % 9], T0 + dt.timedelta(hours=i * 7 % 13) if i % 8 else None)
+            for k in ("a", "b", None) for i in range(4 if k == "a" else 18)]
+    df = spark.createDataFrame(rows, "k string, id int, day date, t timestamp_ntz")
+    got = {(r.k, r.id, r.first_run + dt.timedelta(n)) for r in ranking.latest_in_runs(
+        df, ["k"], F.col("day"), "t", back, until).collect() for n in range((r.last_run - r.first_run).days + 1)}
+    want = set()
+    for run in (dt.date(2019, 12, 20) + dt.timedelta(n) for n in range(60)):
+        seen = [r for r in rows if r[2] and r[3] and run - dt.timedelta(back) <= r[2] <= run - dt.timedelta(until)]
+        want |= {(r[0], r[1], run) for r in seen if r[3] == max(x[3] for x in seen if x[0] == r[0])}
+    assert got == want
+
+
+def test_a_withdrawn_list_sorts_no_row_per_run_date(shuffled):
+    base = {"application_status": "withdrawn", "withdrawn_reason_code": 1, "loan_sequence": 1, "isreturning": 0, "isapplicationtest": 0,
+            "emailaddress": "a@mail.example.com", "email_marketingoptin": 1, "state": "TX", "product": "P", "origination_time": None,
+            "customer_firstname": "ANN", "customer_lastname": "B", "requested_amount": 1.0, "approved_amount": 1.0, "maxloanlimit": 1.0,
+            "withdrawn_reason": "r", "campaign_name": None, "lms_code": "INST"}
+    schema = """application_status string, withdrawn_reason_code int, loan_sequence int, isreturning int, isapplicationtest int, emailaddress string,
+        email_marketingoptin int, state string, product string, origination_time timestamp_ntz, customer_firstname string, customer_lastname string,
+        requested_amount double, approved_amount double, maxloanlimit double, withdrawn_reason string, campaign_name string, lms_code string,
+        lms_customer_id long, lms_application_id long, received_time timestamp_ntz, withdrawn_time timestamp_ntz"""
+    own = [(1, 1, 0, 3), (1, 2, 2, 8), (1, 2, 2, 8), (None, 3, 1, 4), (None, 4, 1, 4), (2, 5, 0, 1)]
+    leads = shuffled.createDataFrame([{**base, "lms_customer_id": c, "lms_application_id": a, "received_time": T0 + dt.timedelta(r),
+                                       "withdrawn_time": T0 + dt.timedelta(w, hours=5)} for c, a, r, w in own], schema)
+    runs = [dt.date(2020, 1, 1) + dt.timedelta(n) for n in range(20)]
+    out = withdrawn.list_withdrawn_range(leads, shuffled.createDataFrame([(d,) for d in runs * 2], "run_date date"),
+                                         Rules(job_suffix={"INST": "PAJ"}), F.lit("w"), back=6)
+    assert not any("run_date" in x for x in plan(out).splitlines() if "Window " in x or "WindowGroupLimit " in x)
+    got = sorted((r.business_date, r.lms_application_id) for r in out.collect())
+    first = dt.date(2020, 1, 1)
+    want = []
+    for run in (d for d in runs if d.weekday() < 5):
+        seen = [(c, a, r) for c, a, r, w in set(own) if 1 <= (run - first).days - w <= 6]
+        want += [(run, a) for c, a, r in seen if r == max(x[2] for x in seen if x[0] == c)]
+    assert got == sorted(want) and got
